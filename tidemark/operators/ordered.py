@@ -94,15 +94,24 @@ class OrderedFrame:
 
     def __init__(self, df: DataFrame, order, keys=(), halo: int = 9,
                  bucket_size: int | None = None, strategy: str = "halo",
-                 index_col: str = "_idx"):
+                 index_col: str = "_idx", dense: bool = False):
         self.keys = list(keys)
         self.order = list(order)
         self.halo = halo
         self.strategy = strategy
         self.index_col = index_col
+        self.dense = dense
         if strategy == "halo":
             size = max(bucket_size or DEFAULT_BUCKET, halo, 1)
-            indexed = dense_index(df, self.keys + self.order, index_col)
+            if dense:
+                # ``order`` is already a dense 0-based position (e.g. date_id
+                # from ``dense_index``): bucket it directly, no range shuffle.
+                if len(self.order) != 1 or self.keys:
+                    raise ValueError("dense=True needs one position column and no keys")
+                self.index_col = index_col = self.order[0]
+                indexed = df
+            else:
+                indexed = dense_index(df, self.keys + self.order, index_col)
             self.frame = with_halo(indexed, index_col, size, halo)
             self.part = [F.col("_b")] + [F.col(k) for k in self.keys]
             self.sort = [F.col(index_col)]
@@ -123,7 +132,8 @@ class OrderedFrame:
 
     def finish(self, df: DataFrame) -> DataFrame:
         if self.strategy == "halo":
-            return df.where(F.col("_own")).drop("_b", "_own", self.index_col)
+            out = df.where(F.col("_own")).drop("_b", "_own")
+            return out if self.dense else out.drop(self.index_col)
         return df
 
 
@@ -161,7 +171,8 @@ def lag_exprs(ofr: OrderedFrame, col: str, fill: Column | None, lags=LAGS) -> li
 
 def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS, lags=LAGS,
                      lag_fill: str | None = "mean", bucket_size: int | None = None,
-                     strategy: str = "halo", rolling: bool = True) -> DataFrame:
+                     strategy: str = "halo", rolling: bool = True,
+                     dense: bool = False) -> DataFrame:
     """Block 7: rolling / momentum / z / lag / crossover features for ``cols``.
 
     ``lag_fill='mean'`` fills lag gaps with the whole-series mean (per key when
@@ -183,7 +194,8 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
         fills = {c: F.col(f"_fill_{c}") for c in cols}
     elif lag_fill is not None and lag_fill != "mean":
         raise ValueError(f"unknown lag_fill {lag_fill!r}")
-    ofr = OrderedFrame(base, order, keys, halo=halo, bucket_size=bucket_size, strategy=strategy)
+    ofr = OrderedFrame(base, order, keys, halo=halo, bucket_size=bucket_size, strategy=strategy,
+                       dense=dense)
     exprs: list[Column] = []
     for c in cols:
         if rolling:
@@ -197,15 +209,24 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
 
 def trailing_sequence(df: DataFrame, cols, order, keys=(), length: int = 5,
                       out_col: str = "seq", bucket_size: int | None = None,
-                      strategy: str = "halo") -> DataFrame:
+                      strategy: str = "halo", dense: bool = False) -> DataFrame:
     """Per row, the last ``length`` feature vectors (oldest first),
     left-padded with zero vectors; row i only ever sees rows <= i."""
     cols = list(cols)
     ofr = OrderedFrame(df, order, keys, halo=length - 1, bucket_size=bucket_size,
-                       strategy=strategy)
+                       strategy=strategy, dense=dense)
     vec = F.array(*[F.col(c).cast("double") for c in cols])
     hist = F.collect_list(vec).over(ofr.window(-(length - 1), 0))
     zero = F.array(*[F.lit(0.0) for _ in cols])
     padded = F.concat(F.array_repeat(zero, F.lit(length) - F.size(hist)), hist)
     out = ofr.frame.select("*", padded.alias(out_col))
     return ofr.finish(out)
+
+
+def lagged(df: DataFrame, exprs: dict, order, keys=(), halo: int = 1,
+           bucket_size: int | None = None, dense: bool = False) -> DataFrame:
+    """Add columns built from an ``OrderedFrame``: ``exprs`` maps a new column
+    name to ``fn(ofr) -> Column`` (e.g. a lag or a short rolling frame)."""
+    ofr = OrderedFrame(df, order, keys, halo=halo, bucket_size=bucket_size, dense=dense)
+    out = ofr.frame.select("*", *[fn(ofr).alias(name) for name, fn in exprs.items()])
+    return ofr.finish(out)

@@ -67,3 +67,53 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         x = F.element_at("embedding", fstart + j)
         cols.append(F.when(x > 0.1, 1).when(x < -0.1, -1).otherwise(0).cast("int").alias(f"D{j + 1}"))
     return emb.select(*cols)
+
+
+# Rule-based prediction columns of the evaluation panel (deterministic, so
+# every downstream metric, blend and study has an exact SQL oracle).
+RULE_MODELS = ("p_mom", "p_rev", "p_ma3")
+POSITION_MODELS = ("pos_mom", "pos_rev")
+PROB_SCALE = 50.0
+
+
+def daily_eval(spark: SparkSession, sf_dir: str, n_splits: int = 5) -> DataFrame:
+    """Evaluation panel on ``daily``: return target, lagged-return features,
+    expanding segments and out-of-fold rule predictions.
+
+    ``y = v / v[-1] - 1`` (0 on the first day); ``x_k`` is ``y`` lagged k
+    days (0 before the start). All lags come from one halo window pass over
+    the dense ``date_id``. Predictions are 0 on the never-validated first
+    segment, as an out-of-fold vector is.
+    """
+    from ..operators.ordered import lagged
+    from ..operators.split import expanding_segments
+    from ..operators.labels import prob_to_position
+
+    dd = daily(spark, sf_dir).select("date_id", "v")
+
+    def ret(k):
+        return lambda o: F.coalesce(
+            F.try_divide(F.lag("v", k).over(o.window()), F.lag("v", k + 1).over(o.window())) - 1,
+            F.lit(0.0))
+
+    exprs = {"y": lambda o: F.coalesce(
+        F.try_divide(F.col("v"), F.lag("v", 1).over(o.window())) - 1, F.lit(0.0))}
+    for k in (1, 2, 3):
+        exprs[f"x{k}"] = ret(k)
+    panel_df = lagged(dd, exprs, ["date_id"], halo=4, bucket_size=256, dense=True)
+    seg = expanding_segments(panel_df, "date_id", n_splits)
+    val = F.col("seg") >= 1
+
+    def oof(e):
+        return F.when(val, e).otherwise(F.lit(0.0))
+
+    prob_up = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.lit(PROB_SCALE) * F.col("x1")))
+    prob_dn = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(PROB_SCALE) * F.col("x1")))
+    return seg.select(
+        "date_id", "y", "x1", "x2", "x3", "seg",
+        oof(F.col("x1")).alias("p_mom"),
+        oof(-F.col("x1")).alias("p_rev"),
+        oof((F.col("x1") + F.col("x2") + F.col("x3")) / 3).alias("p_ma3"),
+        oof(prob_to_position(prob_up)).alias("pos_mom"),
+        oof(prob_to_position(prob_dn)).alias("pos_rev"),
+    )
