@@ -80,14 +80,9 @@ def fold_metrics(frame: DataFrame, y: str, models, seg: str = "seg",
         names = list(exprs)
         aggs += [e.alias(f"{m}__{k}") for k, e in exprs.items()]
     wide = data.groupBy(F.col(seg).alias("fold")).agg(*aggs)
-    parts = []
-    for m in models:
-        parts.append(wide.select(F.lit(m).alias("model"), "fold",
-                                 *[F.col(f"{m}__{k}").alias(k) for k in names]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cells = ", ".join(", ".join([f"'{m}'"] + [f"`{m}__{k}`" for k in names]) for m in models)
+    return wide.selectExpr("fold", f"stack({len(models)}, {cells}) AS (model, {', '.join(names)})"
+                           ).select("model", "fold", *names)
 
 
 def classification_fold_metrics(frame: DataFrame, y: str, models, seg: str = "seg") -> DataFrame:

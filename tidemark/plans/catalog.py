@@ -7,6 +7,7 @@ import importlib
 MODULES = (
     "q_ordered",
     "q_eval",
+    "q_profile",
 )
 
 

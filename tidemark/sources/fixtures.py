@@ -66,6 +66,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     for j in range(flen):
         x = F.element_at("embedding", fstart + j)
         cols.append(F.when(x > 0.1, 1).when(x < -0.1, -1).otherwise(0).cast("int").alias(f"D{j + 1}"))
+    cols.append(F.col("label").cast("double").alias("target"))
     return emb.select(*cols)
 
 
@@ -117,3 +118,20 @@ def daily_eval(spark: SparkSession, sf_dir: str, n_splits: int = 5) -> DataFrame
         oof(prob_to_position(prob_up)).alias("pos_mom"),
         oof(prob_to_position(prob_dn)).alias("pos_rev"),
     )
+
+
+def split_by_time(df: DataFrame, ts_col: str = "ts", train_share: int = 4, parts: int = 5):
+    """Train/test split at a cutoff derived from the data: rows before
+    ``min + (max - min) * train_share / parts`` (in microseconds) train.
+
+    The cutoff is one aggregate (a single number); both sides are then
+    filters on the same frame, pushed down to the scan.
+    """
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    row = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    cutoff = row["lo"] + (row["hi"] - row["lo"]) * train_share // parts
+    return df.where(us < F.lit(cutoff)), df.where(us >= F.lit(cutoff))
+
+
+EVENTS_SPEC_KW = dict(target="value", ids=("event_id", "user_id"), leakage=(),
+                      order=("ts", "event_id"))
