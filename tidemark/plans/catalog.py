@@ -8,6 +8,7 @@ MODULES = (
     "q_ordered",
     "q_eval",
     "q_profile",
+    "q_rowfeat",
 )
 
 

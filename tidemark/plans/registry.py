@@ -26,5 +26,10 @@ def register(name: str, sql: str | Callable[[], str] | None = None):
     return deco
 
 
-def sql_r6(expr: str, name: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {name}"
+def sql_r6(expr: str, name: str) -> str:
+    """SQL twin of ``functions.common.r6`` (same IEEE operations)."""
+    x = f"CAST(({expr}) AS DOUBLE)"
+    step = f"power(10.0, floor(log10(abs({x}))) - 11.0)"
+    return (f"(CASE WHEN isnan({x}) OR isinf({x}) THEN {x} "
+            f"WHEN abs({x}) < 1e6 THEN floor({x} * 1e6 + 0.5) / 1e6 "
+            f"ELSE floor({x} / {step} + 0.5) * {step} END) + 0.0 AS {name}")
