@@ -9,6 +9,7 @@ MODULES = (
     "q_eval",
     "q_profile",
     "q_rowfeat",
+    "q_linear",
 )
 
 

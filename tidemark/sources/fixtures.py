@@ -135,3 +135,14 @@ def split_by_time(df: DataFrame, ts_col: str = "ts", train_share: int = 4, parts
 
 EVENTS_SPEC_KW = dict(target="value", ids=("event_id", "user_id"), leakage=(),
                       order=("ts", "event_id"))
+
+
+def daily_reg(spark: SparkSession, sf_dir: str, n_splits: int = 5) -> DataFrame:
+    """``daily`` with the expanding segment: ``x`` = orders that day,
+    ``y`` = revenue that day in millions (regression fixture)."""
+    from ..operators.split import expanding_segments
+
+    dd = daily(spark, sf_dir)
+    seg = expanding_segments(dd, "date_id", n_splits)
+    return seg.select("date_id", "seg", F.col("n").cast("double").alias("x"),
+                      (F.col("v") / 1e6).alias("y"))
