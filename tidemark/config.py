@@ -91,3 +91,43 @@ def family_columns(columns, prefix: str, nums) -> list[str]:
     """Present-column resolver (F0): ``prefix+num`` names found in ``columns``."""
     present = set(columns)
     return [f"{prefix}{i}" for i in nums if f"{prefix}{i}" in present]
+
+
+# ---------------------------------------------------------------------------
+# Learner settings published by the original study.
+# Keys use the original parameter names; trees.to_spark_params maps them.
+# ---------------------------------------------------------------------------
+GB_PARAMS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 4,
+             "min_samples_leaf": 20, "subsample": 0.8, "max_features": "sqrt"}
+RF_PARAMS = {"n_estimators": 200, "max_depth": 8, "min_samples_leaf": 10, "max_features": "sqrt"}
+LGBM_DEFAULT_PARAMS = {"n_estimators": 500, "learning_rate": 0.05, "max_depth": 5,
+                       "num_leaves": 63, "min_child_samples": 20, "subsample": 0.8,
+                       "colsample_bytree": 0.7, "reg_alpha": 0.1, "reg_lambda": 1.0}
+XGB_REG_TUNED = {"n_estimators": 1495, "learning_rate": 0.127, "max_depth": 3,
+                 "min_child_weight": 5, "subsample": 0.514, "colsample_bytree": 0.457,
+                 "reg_alpha": 0.043, "reg_lambda": 0.013}
+XGB_CLF_DEFAULT = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3}
+XGB_CLF_TUNED = {"n_estimators": 252, "learning_rate": 0.00785, "max_depth": 4,
+                 "min_child_weight": 8, "subsample": 0.960, "colsample_bytree": 0.696,
+                 "colsample_bylevel": 0.896, "reg_alpha": 0.000582, "reg_lambda": 0.000220,
+                 "gamma": 1.674}
+
+# Search spaces: name -> (kind, low, high); kind int | float | logfloat.
+LGBM_SPACE = {"n_estimators": ("int", 200, 1000), "learning_rate": ("logfloat", 0.01, 0.15),
+              "max_depth": ("int", 3, 8), "num_leaves": ("int", 31, 127),
+              "min_child_samples": ("int", 10, 80), "subsample": ("float", 0.6, 1.0),
+              "colsample_bytree": ("float", 0.4, 1.0), "reg_alpha": ("logfloat", 1e-3, 5.0),
+              "reg_lambda": ("logfloat", 1e-3, 5.0)}
+XGB_SPACE = {"n_estimators": ("int", 200, 1500), "learning_rate": ("logfloat", 0.005, 0.15),
+             "max_depth": ("int", 3, 9), "min_child_weight": ("int", 1, 20),
+             "subsample": ("float", 0.5, 1.0), "colsample_bytree": ("float", 0.3, 1.0),
+             "colsample_bylevel": ("float", 0.3, 1.0), "reg_alpha": ("logfloat", 1e-4, 10.0),
+             "reg_lambda": ("logfloat", 1e-4, 10.0), "gamma": ("float", 0.0, 2.0),
+             "max_delta_step": ("int", 0, 5)}
+LGBM_CLF_SPACE = {"n_estimators": ("int", 200, 1500), "learning_rate": ("logfloat", 0.005, 0.15),
+                  "max_depth": ("int", 3, 9), "num_leaves": ("int", 20, 150),
+                  "min_child_samples": ("int", 10, 80), "subsample": ("float", 0.5, 1.0),
+                  "colsample_bytree": ("float", 0.3, 1.0), "reg_alpha": ("logfloat", 1e-4, 10.0),
+                  "reg_lambda": ("logfloat", 1e-4, 10.0)}
+RIDGE_ALPHAS = (2.0, 7.0, 100)   # logspace(start, stop, num)
+META_ALPHAS = (-3.0, 3.0, 50)

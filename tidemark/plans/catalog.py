@@ -10,6 +10,7 @@ MODULES = (
     "q_profile",
     "q_rowfeat",
     "q_linear",
+    "q_models",
 )
 
 
