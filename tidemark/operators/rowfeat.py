@@ -141,14 +141,19 @@ def zscore_features(df: DataFrame, families=None, batch_stats: DataFrame | None
     if batch_stats is None:
         batch_stats = base.agg(*[F.avg(f"_{p}_mu").alias(f"_{p}_bm") for p in fams],
                                *[F.stddev_samp(f"_{p}_mu").alias(f"_{p}_bs") for p in fams])
-    joined = base.crossJoin(F.broadcast(batch_stats))
-    out = []
+    # stage the row std once per family; every z-score then refers to the
+    # column instead of repeating the whole sum (keeps expressions linear)
+    sig_cols = []
     for pfx, cols in fams.items():
         mu = F.col(f"_{pfx}_mu")
         n = F.col(f"_{pfx}_n").cast("double")
-        ss = _central(cols, mu, 2)
-        sd = F.when(n > 1, F.sqrt(ss / (n - 1)))
-        sig = F.when(sd == 0, F.lit(EPS)).otherwise(sd)
+        sd = F.when(n > 1, F.sqrt(_central(cols, mu, 2) / (n - 1)))
+        sig_cols.append(F.when(sd == 0, F.lit(EPS)).otherwise(sd).alias(f"_{pfx}_sig"))
+    joined = base.select("*", *sig_cols).crossJoin(F.broadcast(batch_stats))
+    out = []
+    for pfx, cols in fams.items():
+        mu = F.col(f"_{pfx}_mu")
+        sig = F.col(f"_{pfx}_sig")
         zs = [(_q(c).cast("double") - mu) / sig for c in cols]
         out += [
             ((mu - F.col(f"_{pfx}_bm")) / (F.col(f"_{pfx}_bs") + F.lit(EPS))).alias(f"{pfx}_zscore_mean"),
@@ -198,12 +203,11 @@ def regime_conditioned(df: DataFrame) -> DataFrame:
     if not d_cols:
         return df
     ds = [F.coalesce(_q(c), F.lit(0)).cast("long") for c in d_cols]
-    bull = _sum([(_q(c) == 1).cast("int") for c in d_cols])
-    bear = _sum([(_q(c) == -1).cast("int") for c in d_cols])
+    bull = _sum([F.coalesce((_q(c) == 1).cast("int"), F.lit(0)) for c in d_cols])
+    bear = _sum([F.coalesce((_q(c) == -1).cast("int"), F.lit(0)) for c in d_cols])
     base = df.select(
         "*", _sum(ds).alias("D_sum"), _sum([F.abs(d) for d in ds]).alias("D_abs_sum"),
-        F.coalesce(bull, F.lit(0)).cast("long").alias("D_bull"),
-        F.coalesce(bear, F.lit(0)).cast("long").alias("D_bear"))
+        bull.cast("long").alias("D_bull"), bear.cast("long").alias("D_bear"))
     base = base.withColumn("D_net", F.col("D_bull") - F.col("D_bear"))
     base = base.withColumn("D_signal", F.col("D_net").cast("double") / (F.col("D_abs_sum") + F.lit(EPS)))
     out = []

@@ -61,7 +61,7 @@ def load_split(spark: SparkSession, train_path: str, test_path: str, fmt: str |
 
 
 def alignment_report(train: DataFrame, test: DataFrame) -> DataFrame:
-    """S3: columns present on only one side, as ``(column, side)`` rows.
+    """S3: columns present on only one side, as ``(column_name, side)`` rows.
 
     Computed from the two schemas on the driver (no job); the result has at
     most as many rows as there are columns.
@@ -70,7 +70,7 @@ def alignment_report(train: DataFrame, test: DataFrame) -> DataFrame:
     tr, te = train.columns, test.columns
     rows = [(c, "train") for c in tr if c not in set(te)]
     rows += [(c, "test") for c in te if c not in set(tr)]
-    return spark.createDataFrame(rows, "column string, side string")
+    return spark.createDataFrame(rows, "column_name string, side string")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
