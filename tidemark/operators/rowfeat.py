@@ -59,6 +59,42 @@ def _median(cols) -> Column:
     return F.when(n == 0, F.lit(None).cast("double")).when(n % 2 == 1, odd).otherwise(even)
 
 
+# SQL-text builders: each block is emitted as expression text and applied
+# with one ``selectExpr`` per stage, so building a plan with hundreds of
+# generated columns costs a handful of JVM calls instead of one per node.
+def _b(c: str) -> str:
+    return f"`{c}`"
+
+
+def _dbl(c: str) -> str:
+    return f"CAST({_b(c)} AS DOUBLE)"
+
+
+def _sum_s(terms) -> str:
+    return "(" + " + ".join(terms) + ")"
+
+
+def _count_s(cols) -> str:
+    return _sum_s([f"CAST({_b(c)} IS NOT NULL AS INT)" for c in cols])
+
+
+def _mean_s(cols) -> str:
+    total = _sum_s([f"coalesce({_dbl(c)}, 0.0D)" for c in cols])
+    return f"try_divide({total}, CAST({_count_s(cols)} AS DOUBLE))"
+
+
+def _central_s(cols, mean: str, power: int) -> str:
+    return _sum_s([f"coalesce(power({_dbl(c)} - {mean}, {power}), 0.0D)" for c in cols])
+
+
+def _arr_s(cols) -> str:
+    return f"array_compact(array({', '.join(_dbl(c) for c in cols)}))"
+
+
+def _extreme_s(fn: str, cols) -> str:
+    return f"{fn}({', '.join(_dbl(c) for c in cols)})" if len(cols) > 1 else _dbl(cols[0])
+
+
 # ---------------------------------------------------------------------------
 # F1 group stats
 # ---------------------------------------------------------------------------
@@ -68,34 +104,36 @@ def group_stats(df: DataFrame, families=None) -> DataFrame:
     fams = _present(df, families)
     if not fams:
         return df
-    # stage 1: count and mean (referenced by later expressions, computed once)
+    # stage 1: count, mean and the sorted non-null array (each computed once)
     stage1 = []
     for pfx, cols in fams.items():
-        stage1 += [_count(cols).alias(f"_{pfx}_n"), _mean(cols).alias(f"{pfx}_mean")]
-    base = df.select("*", *stage1)
+        stage1 += [f"{_count_s(cols)} AS `_{pfx}_n`", f"{_mean_s(cols)} AS `{pfx}_mean`",
+                   f"array_sort({_arr_s(cols)}) AS `_{pfx}_srt`"]
+    base = df.selectExpr("*", *stage1)
     out = []
     for pfx, cols in fams.items():
-        n = F.col(f"_{pfx}_n").cast("double")
-        mean = F.col(f"{pfx}_mean")
-        m2s = _central(cols, mean, 2)
-        m3s = _central(cols, mean, 3)
-        std = F.coalesce(F.when(n > 1, F.sqrt(m2s / (n - 1))), F.lit(0.0))
-        mn = F.least(*[_q(c).cast("double") for c in cols]) if len(cols) > 1 else _q(cols[0]).cast("double")
-        mx = F.greatest(*[_q(c).cast("double") for c in cols]) if len(cols) > 1 else _q(cols[0]).cast("double")
-        m2 = m2s / n
-        skew = F.when(n <= 2, F.lit(0.0)).when(m2 == 0, F.lit(None).cast("double")).otherwise(
-            (m3s / n) / F.pow(m2, 1.5))
-        out += [std.alias(f"{pfx}_std"), mn.alias(f"{pfx}_min"), mx.alias(f"{pfx}_max"),
-                (mx - mn).alias(f"{pfx}_range"), _median(cols).alias(f"{pfx}_median"),
-                skew.alias(f"{pfx}_skew")]
-    staged = base.select("*", *out)
-    cv = [(F.col(f"{p}_std") / (F.abs(F.col(f"{p}_mean")) + F.lit(EPS))).alias(f"{p}_cv") for p in fams]
+        n = f"CAST(`_{pfx}_n` AS DOUBLE)"
+        mean = f"`{pfx}_mean`"
+        m2s = _central_s(cols, mean, 2)
+        m3s = _central_s(cols, mean, 3)
+        mn, mx = _extreme_s("least", cols), _extreme_s("greatest", cols)
+        a = f"`_{pfx}_srt`"
+        half = f"CAST(floor(size({a}) / 2) AS INT)"
+        median = (f"CASE WHEN size({a}) = 0 THEN CAST(NULL AS DOUBLE) "
+                  f"WHEN size({a}) % 2 = 1 THEN try_element_at({a}, {half} + 1) "
+                  f"ELSE (try_element_at({a}, greatest({half}, 1)) + try_element_at({a}, {half} + 1)) / 2 END")
+        skew = (f"CASE WHEN {n} <= 2 THEN 0.0D WHEN {m2s} / {n} = 0 THEN CAST(NULL AS DOUBLE) "
+                f"ELSE ({m3s} / {n}) / power({m2s} / {n}, 1.5) END")
+        out += [f"coalesce(CASE WHEN {n} > 1 THEN sqrt({m2s} / ({n} - 1)) END, 0.0D) AS `{pfx}_std`",
+                f"{mn} AS `{pfx}_min`", f"{mx} AS `{pfx}_max`", f"{mx} - {mn} AS `{pfx}_range`",
+                f"{median} AS `{pfx}_median`", f"{skew} AS `{pfx}_skew`"]
+    staged = base.selectExpr("*", *out)
+    cv = [f"`{p}_std` / (abs(`{p}_mean`) + {EPS!r}) AS `{p}_cv`" for p in fams]
     order = []
     for p in fams:
-        order += [f"{p}_{s}" for s in ("mean", "std", "min", "max", "range", "median", "skew")]
-        order.append(f"{p}_cv")
-    res = staged.select("*", *cv)
-    return res.select(*[_q(c) for c in df.columns], *order)
+        order += [f"`{p}_{s}`" for s in ("mean", "std", "min", "max", "range", "median", "skew")]
+        order.append(f"`{p}_cv`")
+    return staged.selectExpr("*", *cv).selectExpr(*[_b(c) for c in df.columns], *order)
 
 
 # ---------------------------------------------------------------------------
@@ -105,18 +143,22 @@ def rank_features(df: DataFrame, families=None) -> DataFrame:
     """percentile ranks inside the row (average ties, nulls excluded):
     top_rank, bot_rank, rank_spread, n_above_med (# ranks > 0.5)."""
     fams = _present(df, families)
+    if not fams:
+        return df
+    arrs = [f"{_arr_s(cols)} AS `_{pfx}_arr`" for pfx, cols in fams.items()]
+    ranks = []
+    for pfx in fams:
+        a = f"`_{pfx}_arr`"
+        ranks.append(f"transform({a}, x -> (size(filter({a}, y -> y < x)) "
+                     f"+ (size(filter({a}, y -> y = x)) + 1) / 2) / size({a})) AS `_{pfx}_rk`")
+    staged = df.selectExpr("*", *arrs).selectExpr("*", *ranks)
     out = []
-    for pfx, cols in fams.items():
-        a = F.array_compact(F.array(*[_q(c).cast("double") for c in cols]))
-        n = F.size(a).cast("double")
-        ranks = F.transform(a, lambda x: (F.size(F.filter(a, lambda y: y < x))
-                                          + (F.size(F.filter(a, lambda y: y == x)) + 1) / 2) / n)
-        top = F.array_max(ranks)
-        bot = F.array_min(ranks)
-        out += [top.alias(f"{pfx}_top_rank"), bot.alias(f"{pfx}_bot_rank"),
-                (top - bot).alias(f"{pfx}_rank_spread"),
-                F.size(F.filter(ranks, lambda r: r > 0.5)).cast("long").alias(f"{pfx}_n_above_med")]
-    return df.select("*", *out)
+    for pfx in fams:
+        r = f"`_{pfx}_rk`"
+        out += [f"array_max({r}) AS `{pfx}_top_rank`", f"array_min({r}) AS `{pfx}_bot_rank`",
+                f"array_max({r}) - array_min({r}) AS `{pfx}_rank_spread`",
+                f"CAST(size(filter({r}, v -> v > 0.5D)) AS BIGINT) AS `{pfx}_n_above_med`"]
+    return staged.selectExpr(*[_b(c) for c in df.columns], *out)
 
 
 # ---------------------------------------------------------------------------
@@ -135,9 +177,8 @@ def zscore_features(df: DataFrame, families=None, batch_stats: DataFrame | None
         return df
     stage = []
     for pfx, cols in fams.items():
-        mean = _mean(cols)
-        stage += [mean.alias(f"_{pfx}_mu"), _count(cols).alias(f"_{pfx}_n")]
-    base = df.select("*", *stage)
+        stage += [f"{_mean_s(cols)} AS `_{pfx}_mu`", f"{_count_s(cols)} AS `_{pfx}_n`"]
+    base = df.selectExpr("*", *stage)
     if batch_stats is None:
         batch_stats = base.agg(*[F.avg(f"_{p}_mu").alias(f"_{p}_bm") for p in fams],
                                *[F.stddev_samp(f"_{p}_mu").alias(f"_{p}_bs") for p in fams])
@@ -145,23 +186,20 @@ def zscore_features(df: DataFrame, families=None, batch_stats: DataFrame | None
     # column instead of repeating the whole sum (keeps expressions linear)
     sig_cols = []
     for pfx, cols in fams.items():
-        mu = F.col(f"_{pfx}_mu")
-        n = F.col(f"_{pfx}_n").cast("double")
-        sd = F.when(n > 1, F.sqrt(_central(cols, mu, 2) / (n - 1)))
-        sig_cols.append(F.when(sd == 0, F.lit(EPS)).otherwise(sd).alias(f"_{pfx}_sig"))
-    joined = base.select("*", *sig_cols).crossJoin(F.broadcast(batch_stats))
+        n = f"CAST(`_{pfx}_n` AS DOUBLE)"
+        sd = f"CASE WHEN {n} > 1 THEN sqrt({_central_s(cols, f'`_{pfx}_mu`', 2)} / ({n} - 1)) END"
+        sig_cols.append(f"CASE WHEN {sd} = 0 THEN {EPS!r} ELSE {sd} END AS `_{pfx}_sig`")
+    joined = base.selectExpr("*", *sig_cols).crossJoin(F.broadcast(batch_stats))
     out = []
     for pfx, cols in fams.items():
-        mu = F.col(f"_{pfx}_mu")
-        sig = F.col(f"_{pfx}_sig")
-        zs = [(_q(c).cast("double") - mu) / sig for c in cols]
+        zs = [f"(({_dbl(c)} - `_{pfx}_mu`) / `_{pfx}_sig`)" for c in cols]
         out += [
-            ((mu - F.col(f"_{pfx}_bm")) / (F.col(f"_{pfx}_bs") + F.lit(EPS))).alias(f"{pfx}_zscore_mean"),
-            _sum([F.coalesce(z, F.lit(0.0)) for z in zs]).alias(f"{pfx}_zsum"),
-            _sum([F.coalesce(F.greatest(z, F.lit(0.0)), F.lit(0.0)) for z in zs]).alias(f"{pfx}_zsum_pos"),
-            _sum([F.coalesce(F.least(z, F.lit(0.0)), F.lit(0.0)) for z in zs]).alias(f"{pfx}_zsum_neg"),
+            f"(`_{pfx}_mu` - `_{pfx}_bm`) / (`_{pfx}_bs` + {EPS!r}) AS `{pfx}_zscore_mean`",
+            _sum_s([f"coalesce({z}, 0.0D)" for z in zs]) + f" AS `{pfx}_zsum`",
+            _sum_s([f"coalesce(greatest({z}, 0.0D), 0.0D)" for z in zs]) + f" AS `{pfx}_zsum_pos`",
+            _sum_s([f"coalesce(least({z}, 0.0D), 0.0D)" for z in zs]) + f" AS `{pfx}_zsum_neg`",
         ]
-    return joined.select(*[_q(c) for c in df.columns], *out)
+    return joined.selectExpr(*[_b(c) for c in df.columns], *out)
 
 
 # ---------------------------------------------------------------------------
