@@ -170,3 +170,20 @@ def study_target_scaling_daily(spark, sf_dir):
     rows = [("sequence, raw target", *_summ(_seq_eval(spark, sf_dir, False, "seq"))),
             ("sequence, scaled target", *_summ(_seq_eval(spark, sf_dir, True, "seq")))]
     return _study_out(study.change_vs_first(study.study_rows(spark, "target scaling", rows)))
+
+
+@register("ridge_coef_top_daily")
+def ridge_coef_top_daily(spark, sf_dir):
+    """V9 + R1: exact ridge (from segment moments) on the lagged-return
+    features, coefficients ranked by absolute size (top 20)."""
+    from ..operators import linear
+
+    ev = daily_eval(spark, sf_dir).select("date_id", "seg", "y", *FEATS)
+    mom, shift = linear.segment_moments(ev, FEATS, "y", None)
+    fit = linear.ridge_from_moments(mom[0], 1.0, shift)
+    top = top_importance(FEATS, [abs(b) for b in fit.coef], 20, spark)
+    signed = spark.createDataFrame([(f, float(b)) for f, b in zip(FEATS, fit.coef)],
+                                   "feature string, coef double")
+    # both sides hold one row per feature
+    return top.join(signed, "feature").select("rank", "feature", r6("importance", "abs_coef"),
+                                              r6("coef", "coef"))

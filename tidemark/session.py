@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # feature plans carry several hundred generated columns; keep them in
+        # whole-stage codegen (default cut-off is 100 fields)
+        .config("spark.sql.codegen.maxFields", "2000")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
