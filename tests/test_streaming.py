@@ -28,3 +28,27 @@ def test_stream_scoring_equals_batch(spark):
     for c in ("E_mean", "V_top_rank", "E_zscore_mean", "IR_M_sq", "D_signal"):
         assert np.allclose(got[c].astype(float), exp[c].astype(float), equal_nan=True), c
     assert TierImputer  # imported API surface
+
+
+def test_preprocess_and_modeling_plans(spark):
+    from tidemark.config import PanelSpec
+    from tidemark.operators.trees import make_estimator
+    from tidemark.plans.modeling import evaluate
+    from tidemark.plans.preprocess import preprocess
+    from tidemark.sources.fixtures import daily_eval, events_nulls, split_by_time
+
+    en = events_nulls(spark, SF001)
+    tr, te = split_by_time(en)
+    spec = PanelSpec(target="value", ids=("event_id", "user_id"), leakage=(), order=("ts",))
+    pp = preprocess(tr, te, spec, "standard")
+    assert "high_null" not in pp.train.columns and "mid_null_was_null" in pp.test.columns
+    assert pp.train.where("low_null IS NULL OR mid_null IS NULL").count() == 0
+
+    ev = daily_eval(spark, SF001).select("date_id", "seg", "y", "x1", "x2", "x3")
+    res = evaluate(ev, ["x1", "x2", "x3"], "y", "date_id", {
+        "ridge": (lambda: make_estimator("ridge", {"regParam": 0.01}), False),
+        "gbt": (lambda: make_estimator("gbt", {"n_estimators": 3, "max_depth": 2}), False),
+    })
+    assert res.per_fold.count() == 10
+    assert res.board.count() == 2
+    assert res.blends.select("blend", "blend_equal", "stacked").count() == ev.count()

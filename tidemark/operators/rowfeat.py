@@ -110,12 +110,18 @@ def group_stats(df: DataFrame, families=None) -> DataFrame:
         stage1 += [f"{_count_s(cols)} AS `_{pfx}_n`", f"{_mean_s(cols)} AS `{pfx}_mean`",
                    f"array_sort({_arr_s(cols)}) AS `_{pfx}_srt`"]
     base = df.selectExpr("*", *stage1)
+    # stage 2: central moment sums, referenced several times below
+    stage2 = []
+    for pfx, cols in fams.items():
+        mean = f"`{pfx}_mean`"
+        stage2 += [f"{_central_s(cols, mean, 2)} AS `_{pfx}_m2s`",
+                   f"{_central_s(cols, mean, 3)} AS `_{pfx}_m3s`"]
+    base = base.selectExpr("*", *stage2)
     out = []
     for pfx, cols in fams.items():
         n = f"CAST(`_{pfx}_n` AS DOUBLE)"
-        mean = f"`{pfx}_mean`"
-        m2s = _central_s(cols, mean, 2)
-        m3s = _central_s(cols, mean, 3)
+        m2s = f"`_{pfx}_m2s`"
+        m3s = f"`_{pfx}_m3s`"
         mn, mx = _extreme_s("least", cols), _extreme_s("greatest", cols)
         a = f"`_{pfx}_srt`"
         half = f"CAST(floor(size({a}) / 2) AS INT)"

@@ -139,6 +139,35 @@ class FoldCV:
             out = out.unionByName(p)
         return out
 
+    def oof_many(self, learners: dict) -> DataFrame:
+        """Wide out-of-fold frame for several learners without any join:
+        per fold every learner is fitted on ``seg < f`` and the fold models
+        score the same validation slice one after another.
+
+        ``learners`` maps a column name to ``(factory, is_classifier)``.
+        """
+        names = list(learners)
+
+        def fit_fold(f):
+            train = self.data.where(F.col(self.seg) < f)
+            return f, {n: make().setLabelCol("_label01" if clf else self.label).fit(train)
+                       for n, (make, clf) in learners.items()}
+
+        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+            fitted = dict(pool.map(fit_fold, range(1, self.n_splits + 1)))
+        keep = [self.key, self.seg, self.label, *self.carry]
+        parts = []
+        for f, models in fitted.items():
+            val = self.data.where(F.col(self.seg) == f)
+            for n in names:
+                scored = _score(models[n], val, learners[n][1], n)
+                val = scored.drop("prediction", "probability", "rawPrediction")
+            parts.append(val.select(*keep, *names))
+        out = self.data.where(F.col(self.seg) == 0).select(*keep, *[F.lit(0.0).alias(n) for n in names])
+        for p in parts:
+            out = out.unionByName(p)
+        return out
+
     def evaluate(self, make, name: str, classifier: bool = False):
         """Per-fold metrics and the M5 summary for one learner."""
         oof = self.oof(make, name, classifier)
