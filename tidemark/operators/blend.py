@@ -51,10 +51,17 @@ def equal_blend(frame: DataFrame, models, out_col: str = "blend_equal") -> DataF
     return frame.withColumn(out_col, sum((F.col(m) for m in models), F.lit(0.0)) / len(models))
 
 
-def whole_oof_scores(frame: DataFrame, y: str, preds) -> DataFrame:
+def whole_oof_scores(frame: DataFrame, y: str, preds, validated_only: bool = False,
+                     seg: str = "seg") -> DataFrame:
     """Sharpe of each prediction column over *all* rows of the out-of-fold
-    frame, as ``(model, mean_sharpe)`` (the score the mega blend weights by)."""
+    frame, as ``(model, mean_sharpe)`` (the score the mega blend weights by).
+
+    By default the never-validated first segment (predictions 0) is included,
+    as in the original study; ``validated_only`` scores segments >= 1 only.
+    """
     preds = list(preds)
+    if validated_only:
+        frame = frame.where(F.col(seg) >= 1)
     one = frame.agg(*[sharpe_agg(p, y).alias(p) for p in preds])
     stacked = ", ".join(f"'{p}', `{p}`" for p in preds)
     return one.selectExpr(f"stack({len(preds)}, {stacked}) AS (model, mean_sharpe)")

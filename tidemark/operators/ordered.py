@@ -172,16 +172,24 @@ def lag_exprs(ofr: OrderedFrame, col: str, fill: Column | None, lags=LAGS) -> li
 def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS, lags=LAGS,
                      lag_fill: str | None = "mean", bucket_size: int | None = None,
                      strategy: str = "halo", rolling: bool = True,
-                     dense: bool = False) -> DataFrame:
+                     dense: bool = False, history: DataFrame | None = None) -> DataFrame:
     """Block 7: rolling / momentum / z / lag / crossover features for ``cols``.
 
     ``lag_fill='mean'`` fills lag gaps with the whole-series mean (per key when
     keyed), as the original study does; ``None`` leaves them null.
+    ``history`` (e.g. the training split) warm-starts the windows of ``df``
+    with the rows just before it; by default the test split starts cold, as
+    in the original study.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     halo = max([max(windows) - 1 if windows else 0] + [max(lags) if lags else 0])
+    if history is not None:
+        # warm start: prepend the last ``halo`` rows of ``history`` (per key
+        # when keyed), compute, then drop them again
+        return _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
+                             bucket_size, strategy, rolling)
     base = df
     fills = {}
     if lags and lag_fill == "mean":
@@ -230,3 +238,38 @@ def lagged(df: DataFrame, exprs: dict, order, keys=(), halo: int = 1,
     ofr = OrderedFrame(df, order, keys, halo=halo, bucket_size=bucket_size, dense=dense)
     out = ofr.frame.select("*", *[fn(ofr).alias(name) for name, fn in exprs.items()])
     return ofr.finish(out)
+
+
+def _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill, bucket_size,
+                  strategy, rolling):
+    """Rolling features of ``df`` whose windows may reach back into the last
+    ``halo`` rows of ``history``. The tail is a bounded top-k per key
+    (``halo`` rows each), never a copy of the history."""
+    keys = list(keys)
+    ordc = [F.col(o).desc() for o in order]
+    if keys:
+        # Skew-safe per-key tail: index the history by (key, time desc), so a
+        # key's rows are contiguous and newest first; a row is among its
+        # key's newest ``halo`` rows iff the row ``halo`` positions earlier
+        # has another key. Halo buckets make that lag exact across buckets.
+        idx = dense_index(history.select(*df.columns), [F.col(k) for k in keys] + ordc, "_ri")
+        fr = with_halo(idx, "_ri", max(bucket_size or DEFAULT_BUCKET, halo), halo)
+        prev = F.lag(F.struct(*keys), halo).over(Window.partitionBy("_b").orderBy("_ri"))
+        tail = (fr.withColumn("_pk", prev).where(F.col("_own"))
+                .where(F.col("_pk").isNull() | (F.col("_pk") != F.struct(*keys))))
+    else:
+        tail = history.orderBy(*ordc).limit(halo)  # bounded top-k
+    tail = tail.select(*df.columns).withColumn("_hist", F.lit(True))
+    both = df.withColumn("_hist", F.lit(False)).unionByName(tail)
+    out = rolling_features(both, cols, order, keys, windows, lags, lag_fill=None,
+                           bucket_size=bucket_size, strategy=strategy, rolling=rolling)
+    out = out.where(~F.col("_hist")).drop("_hist")
+    if lags and lag_fill == "mean":
+        means = [F.avg(c).alias(f"_fill_{c}") for c in cols]
+        stats = df.groupBy(*keys).agg(*means) if keys else df.agg(*means)
+        out = out.join(stats, keys, "left") if keys else out.crossJoin(F.broadcast(stats))
+        for c in cols:
+            for k in lags:
+                out = out.withColumn(f"{c}_lag{k}", F.coalesce(F.col(f"{c}_lag{k}"), F.col(f"_fill_{c}")))
+        out = out.drop(*[f"_fill_{c}" for c in cols])
+    return out
