@@ -87,3 +87,21 @@ def test_oof_zero_on_first_segment(spark):
     mom, shift = segment_moments(df, ["x"], "y", "seg")
     out = df.select("seg", oof_expr(fold_fits(mom, 1.0, shift), ["x"]).alias("p"))
     assert out.where(F.col("seg") == 0).agg(F.max(F.abs("p"))).first()[0] == 0.0
+
+
+def test_early_stopping_holdout_uses_training_tail(spark):
+    from tidemark.operators.trees import FoldCV, make_estimator
+
+    rng = np.random.RandomState(4)
+    n = 240
+    x = rng.normal(size=n)
+    rows = [(i, 0 if i < 40 else 1 + (i - 40) // 40, float(x[i]), float(x[i] + rng.normal()))
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, seg int, x double, y double")
+    cv = FoldCV(df, ["x"], "y", "k")
+    sl = cv._train_slice(3, 0.1).toPandas()
+    assert sl["seg"].max() == 2 and sl["_is_val"].sum() in (11, 12, 13)
+    assert sl.loc[sl["_is_val"], "k"].min() > sl.loc[~sl["_is_val"], "k"].max()
+    oof = cv.oof(lambda: make_estimator("gbt_clf", {"n_estimators": 20, "max_depth": 2}),
+                 "p", classifier=True, holdout=0.1)
+    assert oof.count() == n

@@ -120,12 +120,30 @@ class FoldCV:
     def close(self):
         self.data.unpersist()
 
-    def oof(self, make, name: str, classifier: bool = False) -> DataFrame:
-        """Out-of-fold predictions ``(key, seg, label, <name>)``; 0 on seg 0."""
+    def _train_slice(self, f: int, holdout: float):
+        """Rows of segments < f; with ``holdout`` > 0 the newest share of them
+        (by key order) is flagged ``_is_val`` for early stopping, so the
+        scored validation fold is never used to stop training."""
+        train = self.data.where(F.col(self.seg) < f)
+        if holdout <= 0:
+            return train
+        # one small aggregate: the key cut-off of the newest ``holdout`` share
+        cut = train.agg(F.percentile_approx(self.key, 1.0 - holdout, 10000)).first()[0]
+        return train.withColumn("_is_val", F.col(self.key) > F.lit(cut))
+
+    def oof(self, make, name: str, classifier: bool = False, holdout: float = 0.0) -> DataFrame:
+        """Out-of-fold predictions ``(key, seg, label, <name>)``; 0 on seg 0.
+
+        ``holdout`` > 0 enables early stopping on the newest share of each
+        fold's training rows (the estimator gets ``validationIndicatorCol``).
+        """
         label = "_label01" if classifier else self.label
 
         def run(f):
-            model = make().setLabelCol(label).fit(self.data.where(F.col(self.seg) < f))
+            est = make().setLabelCol(label)
+            if holdout > 0:
+                est = est.setValidationIndicatorCol("_is_val")
+            model = est.fit(self._train_slice(f, holdout))
             val = self.data.where(F.col(self.seg) == f)
             return _score(model, val, classifier, name).select(
                 self.key, self.seg, self.label, *self.carry, name)

@@ -187,3 +187,16 @@ def ridge_coef_top_daily(spark, sf_dir):
     # both sides hold one row per feature
     return top.join(signed, "feature").select("rank", "feature", r6("importance", "abs_coef"),
                                               r6("coef", "coef"))
+
+
+@register("cv_gbt_clf_es_daily")
+def cv_gbt_clf_es_daily(spark, sf_dir):
+    """Boosted direction classifier with early stopping on the newest
+    10 % of each fold's training rows (never on the scored fold)."""
+    from ..config import LGBM_DEFAULT_PARAMS
+
+    cv = _cv(spark, sf_dir)
+    oof = cv.oof(lambda: trees.make_estimator("gbt_clf", LGBM_DEFAULT_PARAMS, max_iter_cap=20),
+                 "gbt_clf_es", classifier=True, holdout=0.1)
+    cm = metrics.classification_fold_metrics(oof, "y", ["gbt_clf_es"])
+    return cm.select("model", "fold", *[r6(c, c) for c in ("accuracy", "sharpe", "rmse")])
