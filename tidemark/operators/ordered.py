@@ -200,10 +200,13 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
         else:
             base = df.crossJoin(F.broadcast(df.agg(*mean_cols)))
         fills = {c: F.col(f"_fill_{c}") for c in cols}
-    elif lag_fill is not None and lag_fill != "mean":
+    elif lag_fill is not None and lag_fill not in ("mean", "past_mean"):
         raise ValueError(f"unknown lag_fill {lag_fill!r}")
     ofr = OrderedFrame(base, order, keys, halo=halo, bucket_size=bucket_size, strategy=strategy,
                        dense=dense)
+    if lags and lag_fill == "past_mean":
+        ofr.frame = _past_means(ofr, cols, list(keys))
+        fills = {c: F.col(f"_fill_{c}") for c in cols}
     exprs: list[Column] = []
     for c in cols:
         if rolling:
@@ -212,7 +215,8 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
             exprs += lag_exprs(ofr, c, fills.get(c), lags)
     out = ofr.frame.select("*", *exprs)
     out = ofr.finish(out)
-    return out.drop(*[f"_fill_{c}" for c in fills])
+    extra = [c for c in out.columns if c.startswith("_ps_") or c.startswith("_pc_")]
+    return out.drop(*[f"_fill_{c}" for c in fills], *extra)
 
 
 def trailing_sequence(df: DataFrame, cols, order, keys=(), length: int = 5,
@@ -273,3 +277,32 @@ def _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
                 out = out.withColumn(f"{c}_lag{k}", F.coalesce(F.col(f"{c}_lag{k}"), F.col(f"_fill_{c}")))
         out = out.drop(*[f"_fill_{c}" for c in cols])
     return out
+
+
+def _past_means(ofr: OrderedFrame, cols, keys) -> DataFrame:
+    """``_fill_<c>``: mean of the series' values strictly before each row (no
+    look-ahead). Halo plan: per (key, bucket) totals - a small aggregate -
+    prefix-summed over earlier buckets of the key, plus a running sum inside
+    the bucket over the bucket's own rows only."""
+    fr = ofr.frame
+    before = Window.unboundedPreceding
+    if ofr.strategy != "halo":
+        w = ofr.window(before, -1)
+        return fr.select("*", *[F.avg(c).over(w).alias(f"_fill_{c}") for c in cols])
+    own = F.col("_own")
+    tot = fr.where(own).groupBy(*keys, "_b").agg(
+        *[F.sum(c).alias(f"_s_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols])
+    wpre = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_b") \
+        .rowsBetween(before, -1)
+    pre = tot.select(*keys, "_b",
+                     *[F.coalesce(F.sum(f"_s_{c}").over(wpre), F.lit(0.0)).alias(f"_ps_{c}") for c in cols],
+                     *[F.coalesce(F.sum(f"_n_{c}").over(wpre), F.lit(0)).alias(f"_pc_{c}") for c in cols])
+    fr = fr.join(pre, [*keys, "_b"], "left")
+    w = ofr.window(before, -1)
+    fills = []
+    for c in cols:
+        run_s = F.coalesce(F.sum(F.when(own, F.col(c))).over(w), F.lit(0.0))
+        run_n = F.coalesce(F.count(F.when(own, F.col(c))).over(w), F.lit(0))
+        fills.append(F.try_divide(F.col(f"_ps_{c}") + run_s,
+                                  (F.col(f"_pc_{c}") + run_n).cast("double")).alias(f"_fill_{c}"))
+    return fr.select("*", *fills)
