@@ -105,3 +105,38 @@ def test_early_stopping_holdout_uses_training_tail(spark):
     oof = cv.oof(lambda: make_estimator("gbt_clf", {"n_estimators": 20, "max_depth": 2}),
                  "p", classifier=True, holdout=0.1)
     assert oof.count() == n
+
+
+def test_sequence_oof_per_fold_and_original(spark):
+    from tidemark.operators.sequence import sequence_oof
+    from tidemark.operators.trees import make_estimator
+
+    rng = np.random.RandomState(9)
+    n = 120
+    x = rng.normal(size=n).cumsum()
+    rows = [(i, 0 if i < 20 else 1 + (i - 20) // 20, float(x[i]), float(0.5 * x[i] + rng.normal()))
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, seg int, x double, y double")
+    make = lambda: make_estimator("ridge", {"regParam": 0.0})
+    a = sequence_oof(df, ["x"], "y", ["k"], "k", make, dense=True, bucket_size=16).toPandas()
+    b = sequence_oof(df, ["x"], "y", ["k"], "k", make, per_fold=False, dense=True,
+                     bucket_size=16).toPandas()
+    assert len(a) == len(b) == n
+    assert (a.loc[a["seg"] == 0, "seq"] == 0).all()
+    # brute force of the per-fold procedure: scalers from seg < f, windows
+    # padded with zeros in scaled space, OLS with intercept, mapped back
+    seg = np.array([r[1] for r in rows])
+    y = np.array([r[3] for r in rows])
+    exp = np.zeros(n)
+    for f in range(1, 6):
+        tr = seg < f
+        xs = (x - x[tr].mean()) / x[tr].std()
+        ys = (y - y[tr].mean()) / y[tr].std()
+        W = np.array([[xs[i - 4 + j] if i - 4 + j >= 0 else 0.0 for j in range(5)] for i in range(n)])
+        A = np.column_stack([np.ones(n), W])
+        coef, *_ = np.linalg.lstsq(A[tr], ys[tr], rcond=None)
+        va = seg == f
+        exp[va] = (A[va] @ coef) * y[tr].std() + y[tr].mean()
+    a = a.sort_values("k")
+    assert np.allclose(a["seq"].to_numpy(), exp, atol=1e-6)
+    assert not np.allclose(b.sort_values("k")["seq"].to_numpy(), exp, atol=1e-6)

@@ -12,7 +12,7 @@ from ..functions.common import r6
 from ..operators import metrics, study, trees
 from ..operators.charts import top_importance
 from ..operators.select import select_by_importance
-from ..operators.sequence import sequence_frame, unscale_expr
+from ..operators.sequence import sequence_oof
 from ..sources.fixtures import daily_eval, panel
 from .features import engineer
 from .registry import register
@@ -108,21 +108,20 @@ def select_features_panel(spark, sf_dir):
     return top_importance([r["feature"] for r in rows], [r["importance"] for r in rows], 25, spark)
 
 
-def _seq_eval(spark, sf_dir, scale_target: bool, name: str):
+def _seq_eval(spark, sf_dir, scale_target: bool, name: str, per_fold: bool = True):
     ev = daily_eval(spark, sf_dir).select("date_id", "seg", "y", *FEATS)
-    frame, ts, wcols = sequence_frame(ev, FEATS, "y", ["date_id"], "date_id", dense=True,
-                                      bucket_size=256, scale_target=scale_target)
-    cv = trees.FoldCV(frame, wcols, "y_sc", "date_id", carry=["y"])
-    oof = cv.oof(lambda: trees.make_estimator("ridge", {"regParam": 0.0}), "p_sc")
-    oof = oof.withColumn(name, F.when(F.col("seg") >= 1, unscale_expr("p_sc", ts, "y"))
-                         .otherwise(F.lit(0.0)))
+    oof = sequence_oof(ev, FEATS, "y", ["date_id"], "date_id",
+                       lambda: trees.make_estimator("ridge", {"regParam": 0.0}),
+                       scale_target=scale_target, per_fold=per_fold, dense=True,
+                       bucket_size=256, name=name)
     return metrics.fold_metrics(oof, "y", [name])
 
 
 @register("sequence_daily")
 def sequence_daily(spark, sf_dir):
     """R8 (re-aimed): length-5 trailing windows of standardised features,
-    standardised target, linear learner, predictions mapped back."""
+    standardised target (scalers fitted per fold on training segments),
+    linear learner, predictions mapped back."""
     return _metric_cols(_seq_eval(spark, sf_dir, True, "seq"))
 
 
