@@ -192,12 +192,14 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
                              bucket_size, strategy, rolling)
     base = df
     fills = {}
-    if lags and lag_fill == "mean":
+    keyed_mean = bool(lags and lag_fill == "mean" and keys and strategy == "halo")
+    if lags and lag_fill == "mean" and not keyed_mean:
         mean_cols = [F.avg(c).alias(f"_fill_{c}") for c in cols]
         if keys:
             stats = df.groupBy(*keys).agg(*mean_cols)
             base = df.join(stats, list(keys), "left")
         else:
+            # one-row aggregate, broadcast
             base = df.crossJoin(F.broadcast(df.agg(*mean_cols)))
         fills = {c: F.col(f"_fill_{c}") for c in cols}
     elif lag_fill is not None and lag_fill not in ("mean", "past_mean"):
@@ -207,6 +209,9 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
     if lags and lag_fill == "past_mean":
         ofr.frame = _past_means(ofr, cols, list(keys))
         fills = {c: F.col(f"_fill_{c}") for c in cols}
+    if keyed_mean:
+        ofr.frame = _whole_means(ofr, cols, list(keys))
+        fills = {c: F.col(f"_fill_{c}") for c in cols}
     exprs: list[Column] = []
     for c in cols:
         if rolling:
@@ -215,7 +220,7 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
             exprs += lag_exprs(ofr, c, fills.get(c), lags)
     out = ofr.frame.select("*", *exprs)
     out = ofr.finish(out)
-    extra = [c for c in out.columns if c.startswith("_ps_") or c.startswith("_pc_")]
+    extra = [c for c in out.columns if c.startswith(("_ps_", "_pc_", "_ws_", "_wc_"))]
     return out.drop(*[f"_fill_{c}" for c in fills], *extra)
 
 
@@ -306,3 +311,23 @@ def _past_means(ofr: OrderedFrame, cols, keys) -> DataFrame:
         fills.append(F.try_divide(F.col(f"_ps_{c}") + run_s,
                                   (F.col(f"_pc_{c}") + run_n).cast("double")).alias(f"_fill_{c}"))
     return fr.select("*", *fills)
+
+
+def _whole_means(ofr: OrderedFrame, cols, keys) -> DataFrame:
+    """``_fill_<c>``: mean of the whole series of each key, attached without
+    a join on the key alone. Per (key, bucket) totals are a small aggregate;
+    a window over each key's bucket rows (one row per bucket, so even a key
+    with a third of all rows contributes only rows/bucket_size entries)
+    turns them into key totals, joined back on (key, bucket), which is
+    balanced because buckets split hot keys."""
+    fr = ofr.frame
+    own = F.col("_own")
+    tot = fr.where(own).groupBy(*keys, "_b").agg(
+        *[F.sum(c).alias(f"_s_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols])
+    wk = Window.partitionBy(*keys)
+    per = tot.select(*keys, "_b",
+                     *[F.sum(f"_s_{c}").over(wk).alias(f"_ws_{c}") for c in cols],
+                     *[F.sum(f"_n_{c}").over(wk).alias(f"_wc_{c}") for c in cols])
+    fr = fr.join(per, [*keys, "_b"], "left")
+    return fr.select("*", *[F.try_divide(F.col(f"_ws_{c}"), F.col(f"_wc_{c}").cast("double"))
+                            .alias(f"_fill_{c}") for c in cols])
