@@ -78,11 +78,21 @@ def qq_fit(points: DataFrame) -> DataFrame:
                       F.corr("sample", "theoretical").alias("r"))
 
 
-def corr_pairs(df: DataFrame, cols, lower_only: bool = True) -> DataFrame:
-    """V4: Pearson correlation of every pair (a, b), a before b in ``cols``
-    (pairwise-complete over rows where both are non-null). One aggregate
-    job, transposed by a single ``stack``."""
+def corr_pairs(df: DataFrame, cols, lower_only: bool = True, method: str = "pairwise") -> DataFrame:
+    """V4: Pearson correlation of every pair (a, b), a before b in ``cols``.
+
+    ``method='pairwise'`` (default): pairwise-complete ``corr`` aggregates in
+    one job, transposed by a single ``stack`` - exact with nulls, but the
+    number of aggregates grows with p^2. ``method='gramian'``: one moment
+    pass (numpy inside tasks, summed by Spark) gives all p^2 correlations
+    from a (p+2)^2 matrix; rows with any null are dropped, so use it on
+    null-free data (e.g. after imputation) and for wide feature sets.
+    """
     cols = list(cols)
+    if method == "gramian":
+        return _corr_gramian(df, cols, lower_only)
+    if method != "pairwise":
+        raise ValueError(f"unknown method {method!r}")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not lower_only:
         pairs += [(b, a) for a, b in pairs]
@@ -137,3 +147,24 @@ def leaderboard(summary: DataFrame) -> DataFrame:
     """Models by mean Sharpe, best first (one row per model)."""
     w = Window.orderBy(F.col("mean_sharpe").desc(), F.col("model"))
     return summary.withColumn("rank", F.row_number().over(w))
+
+
+def _corr_gramian(df: DataFrame, cols, lower_only: bool) -> DataFrame:
+    import numpy as np
+
+    from .linear import segment_moments
+
+    moments, _ = segment_moments(df, cols[:-1], cols[-1], None)
+    m = moments[0]
+    n = m[0, 0]
+    s1 = m[0, 1:]
+    cov = m[1:, 1:] - np.outer(s1, s1) / n
+    sd = np.sqrt(np.diag(cov))
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if lower_only and j <= i:
+                continue
+            den = sd[i] * sd[j]
+            rows.append((a, b, float(cov[i, j] / den) if den > 0 else None))
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, corr double")
