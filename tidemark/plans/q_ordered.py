@@ -123,3 +123,67 @@ def dense_index_events(spark, sf_dir):
     """0-based position of every event in ``(ts, event_id)`` order."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
     return dense_index(ev, ["ts", "event_id"], "idx").select("event_id", "idx")
+
+
+# ---------------------------------------------------------------------------
+# Options of the ordered block on the daily series.
+# ---------------------------------------------------------------------------
+def _past_mean_sql() -> str:
+    past = "avg(v) OVER (ORDER BY date_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    lag_cols = [sql_r6(f"coalesce(lag(v, {k}) OVER (ORDER BY date_id), {past})", f"v_lag{k}")
+                for k in LAGS]
+    return f"SELECT date_id, {', '.join(lag_cols)} FROM {_daily_sql()} dd"
+
+
+@register("lag_past_mean_daily", _past_mean_sql)
+def lag_past_mean_daily(spark, sf_dir):
+    """W5 with no look-ahead: lag gaps filled with the mean of earlier days
+    only (prefix sums over halo buckets)."""
+    dd = daily(spark, sf_dir)
+    out = rolling_features(dd, ["v"], order=["date_id"], windows=(), lag_fill="past_mean",
+                           bucket_size=DAILY_BUCKET, rolling=False, dense=True)
+    return out.select("date_id", *[r6(f"v_lag{k}", f"v_lag{k}") for k in LAGS])
+
+
+def _test_cut(dd):
+    """First position of the final expanding segment (the held-out block)."""
+    n = dd.count()
+    return n - n // 6
+
+
+def _cut_sql() -> str:
+    return "(SELECT count(*) - count(*) // 6 FROM dd0)"
+
+
+def _warm_sql() -> str:
+    cols = ",\n  ".join(_roll_sql("v", "", "date_id"))
+    return (f"WITH dd0 AS {_daily_sql()}\nSELECT * FROM (SELECT date_id,\n  {cols}\nFROM dd0) r "
+            f"WHERE date_id >= {_cut_sql()}")
+
+
+def _cold_sql() -> str:
+    cols = ",\n  ".join(_roll_sql("v", "", "date_id"))
+    return (f"WITH dd0 AS {_daily_sql()}\nSELECT date_id,\n  {cols}\n"
+            f"FROM (SELECT * FROM dd0 WHERE date_id >= {_cut_sql()}) t")
+
+
+@register("roll_daily_warm", _warm_sql)
+def roll_daily_warm(spark, sf_dir):
+    """W1-W4, W6 on the held-out final block, warm-started from the history
+    before it (a bounded tail, not a copy of the history)."""
+    dd = daily(spark, sf_dir)
+    cut = _test_cut(dd)
+    test, hist = dd.where(F.col("date_id") >= cut), dd.where(F.col("date_id") < cut)
+    out = rolling_features(test, ["v"], order=["date_id"], lags=(), bucket_size=DAILY_BUCKET,
+                           history=hist)
+    return out.select("date_id", *[r6(c, c) for c in _roll_names("v")])
+
+
+@register("roll_daily_cold", _cold_sql)
+def roll_daily_cold(spark, sf_dir):
+    """W1-W4, W6 on the held-out final block started cold, as the original
+    study treats its test split."""
+    dd = daily(spark, sf_dir)
+    test = dd.where(F.col("date_id") >= _test_cut(dd))
+    out = rolling_features(test, ["v"], order=["date_id"], lags=(), bucket_size=DAILY_BUCKET)
+    return out.select("date_id", *[r6(c, c) for c in _roll_names("v")])

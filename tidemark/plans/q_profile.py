@@ -198,6 +198,14 @@ def corr_matrix_lineitem(spark, sf_dir):
     return cp.select("column_a", "column_b", r6("corr", "corr"))
 
 
+@register("corr_gramian_lineitem", _corr_sql)
+def corr_gramian_lineitem(spark, sf_dir):
+    """V4 via G1: all pairwise correlations from one moment pass (the route
+    for wide, null-free feature sets)."""
+    cp = charts.corr_pairs(read_table(spark, sf_dir, "lineitem"), LINE_NUM, method="gramian")
+    return cp.select("column_a", "column_b", r6("corr", "corr"))
+
+
 def _tc_cte() -> str:
     tc = " UNION ALL ".join(f"SELECT '{c}' AS column_name, corr({c}, target) AS corr FROM panel"
                             for c in panel_cols())
