@@ -348,3 +348,22 @@ def align_events(spark, sf_dir):
     _, te = cleanup_and_align(tr_i, test.drop("ts"), target=None, leakage=())
     return te.select("event_id", "user_id", r6("value", "value"), r6("low_null", "low_null"),
                      r6("mid_null", "mid_null"), "flag", "mid_null_was_null")
+
+
+def _align_report_sql() -> str:
+    pct = "avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100"
+    return (f"WITH {events_ctes()},\n"
+            f"p AS (SELECT {pct.format(c='high_null')} AS ph, {pct.format(c='mid_null')} AS pm FROM tr)\n"
+            "SELECT 'high_null' AS column_name, 'test' AS side FROM p WHERE ph >= 50\n"
+            "UNION ALL SELECT 'mid_null_was_null', 'train' FROM p WHERE pm >= 20 AND pm < 50")
+
+
+@register("align_report_events", _align_report_sql)
+def align_report_events(spark, sf_dir):
+    """S3: columns present on only one side after imputing the training split
+    (the tiers decide which columns are dropped or flagged) against the raw
+    test split."""
+    from ..sources.panel_io import alignment_report
+
+    imp, train, test = _fit_impute(spark, sf_dir)
+    return alignment_report(imp.transform(train), test)
