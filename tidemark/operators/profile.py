@@ -143,7 +143,9 @@ def missing_tiers(df: DataFrame, cols=None) -> DataFrame:
 
 
 def profile(df: DataFrame, spec: PanelSpec) -> PanelMeta:
-    """run_eda: roles + missing tiers as driver metadata (two small jobs)."""
+    """run_eda: roles + missing tiers as driver metadata (two small jobs).
+
+    Both collects return one row per column, never data rows."""
     roles = {r["column_name"]: r["role"] for r in column_roles(df, spec).collect()}
     miss = {r["column_name"]: r["missing_pct"] for r in missing_pct(df).collect()}
     return PanelMeta(

@@ -87,5 +87,5 @@ def quantiles(df: DataFrame, cols, probs, method: str = "exact",
 
 def quantile_map(df: DataFrame, cols, probs, method: str = "exact") -> dict:
     """``{(column_name, q): value}`` on the driver (at most ``len(cols)*len(probs)``
-    numbers)."""
+    numbers are collected, never data rows)."""
     return {(r["column_name"], r["q"]): r["value"] for r in quantiles(df, cols, probs, method).collect()}
