@@ -56,3 +56,20 @@ def test_queries_run_on_smallest_scale(spark, name):
     import __spark_entry__ as entry
 
     assert entry.queries()[name](spark, SF001).count() > 0
+
+
+def test_stage_table_sinks_round_trip(spark):
+    """Stage tables and a metrics table written and read back."""
+    from tidemark.config import PanelSpec
+    from tidemark.plans.preprocess import preprocess
+    from tidemark.sources.fixtures import events_nulls, split_by_time
+    from tidemark.sources.panel_io import write_table
+
+    d = tempfile.mkdtemp(prefix="tm-stage-", dir="/tmp")
+    tr, te = split_by_time(events_nulls(spark, SF001))
+    spec = PanelSpec(target="value", ids=("event_id", "user_id"), leakage=(), order=("ts",))
+    pp = preprocess(tr, te, spec, "robust", out_dir=d)
+    back = spark.read.parquet(os.path.join(d, "train_preprocessed"))
+    assert back.count() == tr.count() and set(back.columns) == set(pp.train.columns)
+    csv = write_table(pp.scaler.table(spark), os.path.join(d, "scaler_csv"), fmt="csv")
+    assert spark.read.option("header", True).csv(csv).count() == len(pp.scaler.params)
