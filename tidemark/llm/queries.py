@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, licenses, secrets
+from pyspark.sql import functions as F
+
+from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, secrets
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _replica(pages):
+    """A second replica with planted damage, so that the audit has work."""
+    return pages.where("page_id % 101 <> 7").withColumn(
+        "html", F.when(F.col("page_id") % 97 == 5, F.concat("html", F.lit("\0"))).otherwise(F.col("html")))
+
+
+def _fixity(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return fixity.audit(fixity.records(pages), fixity.records(_replica(pages)))
+
+
 QUERIES = {
     "op3_secrets": lambda s, d: secrets.scan(_table(s, d, "documents")),
     "op4_ann": lambda s, d: ann.search(_table(s, d, "embeddings"), 100),
+    "op6_packing": lambda s, d: packing.pack(_table(s, d, "documents")),
+    "op7_decontaminate": lambda s, d: decontaminate.contamination(
+        _table(s, d, "documents"), _table(s, d, "benchmark")),
+    "op8_fixity": _fixity,
+    "op9_neardup": lambda s, d: neardup.groups(_table(s, d, "documents"), 3, 85, 100),
     "op10_licenses": lambda s, d: licenses.scan(_table(s, d, "documents")),
 }
 ORACLES: dict[str, str] = {}
