@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, secrets
+from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, pii, secrets, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -23,6 +23,8 @@ def _fixity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": lambda s, d: toxicity.score(_table(s, d, "documents"), _table(s, d, "labels")),
+    "op2_pii": lambda s, d: pii.scan(_table(s, d, "documents")),
     "op3_secrets": lambda s, d: secrets.scan(_table(s, d, "documents")),
     "op4_ann": lambda s, d: ann.search(_table(s, d, "embeddings"), 100),
     "op6_packing": lambda s, d: packing.pack(_table(s, d, "documents")),
