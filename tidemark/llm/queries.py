@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, pii, secrets, toxicity
+from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, pii, secrets, suffix_dedup, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -27,6 +27,7 @@ QUERIES = {
     "op2_pii": lambda s, d: pii.scan(_table(s, d, "documents")),
     "op3_secrets": lambda s, d: secrets.scan(_table(s, d, "documents")),
     "op4_ann": lambda s, d: ann.search(_table(s, d, "embeddings"), 100),
+    "op5_suffix_dedup": lambda s, d: suffix_dedup.dedup(_table(s, d, "documents")),
     "op6_packing": lambda s, d: packing.pack(_table(s, d, "documents")),
     "op7_decontaminate": lambda s, d: decontaminate.contamination(
         _table(s, d, "documents"), _table(s, d, "benchmark")),
