@@ -185,7 +185,11 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
     if not cols:
         return df
     halo = max([max(windows) - 1 if windows else 0] + [max(lags) if lags else 0])
+    if lag_fill not in (None, "mean", "past_mean"):
+        raise ValueError(f"unknown lag_fill {lag_fill!r}")
     if history is not None:
+        if lags and lag_fill == "past_mean":
+            raise ValueError("lag_fill='past_mean' is not supported with history")
         # warm start: prepend the last ``halo`` rows of ``history`` (per key
         # when keyed), compute, then drop them again
         return _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
@@ -202,8 +206,6 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
             # one-row aggregate, broadcast
             base = df.crossJoin(F.broadcast(df.agg(*mean_cols)))
         fills = {c: F.col(f"_fill_{c}") for c in cols}
-    elif lag_fill is not None and lag_fill not in ("mean", "past_mean"):
-        raise ValueError(f"unknown lag_fill {lag_fill!r}")
     ofr = OrderedFrame(base, order, keys, halo=halo, bucket_size=bucket_size, strategy=strategy,
                        dense=dense)
     if lags and lag_fill == "past_mean":

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import math
 from concurrent.futures import ThreadPoolExecutor
+from inspect import signature
 
 import numpy as np
 from pyspark import StorageLevel
@@ -140,10 +141,12 @@ class FoldCV:
         label = "_label01" if classifier else self.label
 
         def run(f):
-            est = make().setLabelCol(label)
+            train = self._train_slice(f, holdout)
+            # a factory with a parameter gets the fold's training rows
+            est = (make(train) if signature(make).parameters else make()).setLabelCol(label)
             if holdout > 0:
                 est = est.setValidationIndicatorCol("_is_val")
-            model = est.fit(self._train_slice(f, holdout))
+            model = est.fit(train)
             val = self.data.where(F.col(self.seg) == f)
             return _score(model, val, classifier, name).select(
                 self.key, self.seg, self.label, *self.carry, name)

@@ -53,9 +53,12 @@ def cv_ridge_spark_daily(spark, sf_dir):
     """R1 through Spark's normal-equation LinearRegression with the penalty
     mapped to regParam = alpha / n * std_pop(y)."""
     cv = _cv(spark, sf_dir)
-    st = cv.data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("s")).first()
-    reg = trees.ridge_reg_param(1.0, st["n"], st["s"])
-    _, per_fold, _ = cv.evaluate(lambda: trees.make_estimator("ridge", {"regParam": reg}), "ridge")
+
+    def make(train):
+        st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("s")).first()
+        return trees.make_estimator("ridge", {"regParam": trees.ridge_reg_param(1.0, st["n"], st["s"])})
+
+    _, per_fold, _ = cv.evaluate(make, "ridge")
     return _metric_cols(per_fold)
 
 

@@ -31,8 +31,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of a scale-factor directory."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One parquet table of a scale-factor directory; NaN -> NULL."""
+    return nan_to_null(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def read_panel(spark: SparkSession, path: str, fmt: str | None = None,
