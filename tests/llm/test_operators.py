@@ -54,6 +54,24 @@ def test_secrets(edge, docs):
     assert secrets.scan(edge).count() == 6
 
 
+def brute_secrets(text):
+    rules = [("assign", r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
+              r"[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)",
+              lambda m: len(m[2]) >= 12),
+             ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16)]
+    out = sorted((m.start(), i, k, m.end()) for i, (k, p, ok) in enumerate(rules)
+                 for m in re.finditer(p, text or "") if ok(m))
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in out).encode()).hexdigest()
+
+
+def test_secret_base_spans(docs, spark):
+    rows = [(1, "TOKEN = 'abcdefghijkl' pass passwd:short Api_Key=" + "a1" * 9), (2, None), (3, "ſecret=abcdefghijklmnop"),
+            (4, "apikey=AKIA" + "B" * 15), (5, "")]
+    for df in (docs, spark.createDataFrame(rows, "doc_id long, text string")):
+        want = {r.doc_id: brute_secrets(r.text) for r in df.collect()}
+        assert {r.doc_id: r.base_sha256 for r in secrets.scan(df).collect()} == want
+
+
 def test_neardup_components(docs, edge):
     rows = docs.collect()
     sets = {}
@@ -145,6 +163,24 @@ def test_template_matches_changed_numbers(spark):
     assert [(r.doc_id, r.exact_slots) for r in decontaminate.contamination(df, bench).collect()] == [(1, False)]
 
 
+def test_bit_table_loses_no_match(docs, spark):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    narrow, wide = (sorted((r.doc_id, r.item_id, r.matched) for r in
+                           decontaminate.contamination(docs, bench, bits=n).collect()) for n in (64, 1 << 20))
+    texts = {r.item_id: r.text for r in bench.collect()}
+    held = {(d.doc_id, i) for d in docs.collect() for i, t in texts.items() if t in (d.text or "")}
+    assert narrow == wide and held <= {x[:2] for x in wide}
+
+
+def test_decontamination_edge_rows(edge, spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.contamination(edge, none).count() == 0
+    bench = spark.createDataFrame([(7, "one two"), (8, None), (9, "")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.contamination(edge, bench).collect()] == [(5, 7)]
+    lost = spark.createDataFrame([(None, "one two")], "doc_id long, text string")
+    assert decontaminate.contamination(lost, bench).count() == 0
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.01"
     got = toxicity.score(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))

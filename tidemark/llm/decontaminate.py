@@ -3,62 +3,124 @@
 Words become templates: numbers, unit words and names (capitalised words inside
 a sentence) are typed placeholders. Windows of ``width`` template words are
 hash-joined with the benchmark's; slots of matched windows must be consistent:
-within a document one benchmark slot value maps to one value. Null and empty
-texts match nothing; an empty benchmark leaves all documents clean.
+within a document one benchmark slot value maps to one value. Before the join
+a bit table of fixed size, made of the benchmark's hashes, drops most windows
+that cannot match; it only saves work, as the join decides.
+
+Null and empty texts match nothing; rows without a key take no part; rows of
+one doc_id are one document; an empty benchmark leaves all documents clean;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-WORD = re.compile(r"[^\W_]+")
+#: A word, with the mark that ends its sentence if one follows.
+WORD = re.compile(r"[^\W_]+(?:[.!?\n]|\Z)?")
 #: Unit words.
 UNITS = frozenset("m cm mm km kg g mg lb s ms h min l ml usd eur dollars euros hours minutes days years percent".split())
+VOCABULARY = 500_000  # distinct words a task remembers before it starts afresh
+
+
+def kind(word: str, fresh: bool) -> str:
+    """Placeholder of a word, or '' for an ordinary one."""
+    if word[0].isdigit():
+        return "<num>"
+    if word.lower() in UNITS:
+        return "<unit>"
+    return "<name>" if word[0].isupper() and not fresh else ""
+
+
+class Templates:
+    """Template codes of texts; remembers the words it has seen."""
+
+    def __init__(self):
+        self.ids: dict[str, int] = {}
+        self.codes: list[tuple[int, int]] = []
+        self.table = np.zeros((0, 2), np.uint64)
+
+    def encode(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words, whether each opens a sentence, template code of each)."""
+        tokens = WORD.findall(text)
+        if len(self.ids) > VOCABULARY:
+            self.__init__()
+        for t in set(tokens).difference(self.ids):
+            w = t.rstrip(".!?\n")
+            self.ids[t] = len(self.codes)
+            self.codes.append(tuple(xxhash.xxh64_intdigest(kind(w, f) or w.lower()) for f in (False, True)))
+        if len(self.table) < len(self.codes):
+            self.table = np.concatenate([self.table, np.array(self.codes[len(self.table):], np.uint64)])
+        at = np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
+        fresh = np.array([True, *[t[-1] in ".!?\n" for t in tokens[:-1]]], bool)[:len(tokens)]
+        return tokens, fresh, self.table[at, fresh.astype(np.int64)]
+
 
+def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each window; fewer words than ``width`` make one window."""
+    n = max(1, len(codes) - width + 1) if len(codes) else 0
+    h = np.full(n, min(width, len(codes)), np.uint64)
+    for j in range(min(width, len(codes))):
+        h = (h ^ codes[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def slots(tokens: list[str], fresh: np.ndarray, i: int, width: int) -> str:
+    """Values of the placeholders of window ``i``, tab-joined."""
+    words = [(t.rstrip(".!?\n"), f) for t, f in zip(tokens[i:i + width], fresh[i:i + width])]
+    found = [(w, kind(w, f)) for w, f in words]
+    return "\t".join(w.lower() if k == "<unit>" else w for w, k in found if k)
+
+
+def windows(rows: DataFrame, key: str, width: int, bits: np.ndarray | None = None) -> DataFrame:
+    """(key, pos, h, slots) of the windows; with ``bits``, of those whose bit is set."""
+    table = None if bits is None else rows.sparkSession.sparkContext.broadcast(bits)
 
-def template(text: str) -> list[tuple[str, str]]:
-    """(template word, slot value or '') of each word."""
-    out, fresh = [], True
-    for m in WORD.finditer(text):
-        w = m[0]
-        low = w.lower()
-        if w[0].isdigit():
-            out.append(("<num>", w))
-        elif low in UNITS:
-            out.append(("<unit>", low))
-        elif w[0].isupper() and not fresh:
-            out.append(("<name>", w))
-        else:
-            out.append((low, ""))
-        fresh = text[m.end():m.end() + 1] in (".", "!", "?", "\n") or text[m.end():m.end() + 1] == ""
-    return out
-
-
-def windows(rows: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, pos, h, slots) of every window; a shorter text is one window."""
     def run(batches):
+        templates = Templates()
         for pdf in batches:
             out = []
             for k, text in zip(pdf[key], pdf["text"]):
-                t = template(text or "")
-                for i in range(max(1, len(t) - width + 1) if t else 0):
-                    part = t[i:i + width]
-                    out.append((k, i, xxhash.xxh64_intdigest(" ".join(x for x, _ in part)) - (1 << 63),
-                                "\t".join(v for _, v in part if v)))
+                tokens, fresh, codes = templates.encode(text or "")
+                h = window_hashes(codes, width)
+                if table is None:
+                    keep = range(len(h))
+                else:
+                    b = h & np.uint64(len(table.value) * 64 - 1)
+                    word = table.value[(b >> np.uint64(6)).astype(np.int64)]
+                    keep = np.flatnonzero((word >> (b & np.uint64(63))) & np.uint64(1))
+                signed = h.astype(np.int64)
+                out += [(k, int(i), int(signed[i]), slots(tokens, fresh, i, width)) for i in keep]
             yield pd.DataFrame(out, columns=[key, "pos", "h", "slots"])
-    return rows.select(key, "text").mapInPandas(run, f"{key} long, pos int, h long, slots string")
+
+    return rows.where(F.col(key).isNotNull()).select(key, "text").mapInPandas(
+        run, f"{key} long, pos int, h long, slots string")
+
+
+def bit_table(hashes: DataFrame, size: int) -> np.ndarray:
+    """``size`` bits (a power of two), those of the hashes set; the driver
+    receives at most size / 64 rows, however many hashes there are."""
+    b = F.col("h").bitwiseAND(size - 1)
+    rows = hashes.groupBy(F.shiftright(b, 6).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(h & 63 as int))")).alias("word")).toPandas()
+    out = np.zeros(size // 64, np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["word"].to_numpy(np.int64)
+    return out.view(np.uint64)
 
 
-def contamination(docs: DataFrame, bench: DataFrame, width: int = 8, share: float = 0.5) -> DataFrame:
+def contamination(docs: DataFrame, bench: DataFrame, width: int = 8, share: float = 0.5,
+                  bits: int = 1 << 24) -> DataFrame:
     """doc_id, item_id, matched, total, exact_slots of items whose windows a
     document holds to at least ``share``, with consistent slots."""
     b = windows(bench, "item_id", width).withColumnRenamed("slots", "b_slots").withColumnRenamed("pos", "b_pos")
     total = b.groupBy("item_id").agg(F.countDistinct("b_pos").alias("total"))
-    hits = windows(docs, "doc_id", width).join(b, "h")
+    hits = windows(docs, "doc_id", width, bit_table(b, bits)).join(b, "h")
     pair = F.explode(F.arrays_zip(F.split("b_slots", "\t").alias("a"), F.split("slots", "\t").alias("b")))
     clash = (hits.select("doc_id", "item_id", pair.alias("p")).groupBy("doc_id", "item_id", F.col("p.a").alias("a"))
              .agg(F.min("p.b").alias("lo"), F.max("p.b").alias("hi")).groupBy("doc_id", "item_id")

@@ -11,8 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def file_count(pages: DataFrame, per_file: int = 1024) -> int:
+    """Number of WARC files, so that a file holds about ``per_file`` records at any size."""
+    return -(-max(pages.count(), 1) // per_file)
+
+
 def records(pages: DataFrame, files: int = 64) -> DataFrame:
-    """(file, pos, offset, length, leaf, page_id) of the records of a replica."""
+    """(file, pos, offset, length, leaf, page_id) of the records of a replica;
+    replicas are compared under the same ``files``."""
     body = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "),
                     F.coalesce("url", F.lit("")), F.lit("\r\n\r\n"), F.coalesce("html", F.lit("")))
     rec = pages.select("page_id", F.pmod(F.xxhash64("page_id"), F.lit(files)).alias("file"),

@@ -36,8 +36,9 @@ def boundaries(lengths, counts, buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, context: int = 2048, buckets: int = 8, budget: int = 16384,
-         shard_rows: int = 200_000) -> DataFrame:
-    """One row per sequence: doc_id, seq, start, n_tokens, boundary, shard, batch."""
+         shard_rows: int = 25_000) -> DataFrame:
+    """One row per sequence: doc_id, seq, start, n_tokens, boundary, shard, batch.
+    A shard of about ``shard_rows`` sequences ends each bucket with one part-filled batch."""
     n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"))
     seqs = docs.select("doc_id", n.alias("n")).where("n > 0").select(
         "doc_id", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / context).cast("int"))).alias("seq")

@@ -19,7 +19,8 @@ def _replica(pages):
 
 def _fixity(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
-    return fixity.audit(fixity.records(pages), fixity.records(_replica(pages)))
+    files = fixity.file_count(pages)
+    return fixity.audit(fixity.records(pages, files), fixity.records(_replica(pages), files))
 
 
 QUERIES = {
