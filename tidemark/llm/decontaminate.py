@@ -21,6 +21,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import cut_lineage
+
 #: A word, with the mark that ends its sentence if one follows.
 WORD = re.compile(r"[^\W_]+(?:[.!?\n]|\Z)?")
 #: Unit words.
@@ -42,8 +44,8 @@ class Templates:
 
     def __init__(self):
         self.ids: dict[str, int] = {}
-        self.codes: list[tuple[int, int]] = []
-        self.table = np.zeros((0, 2), np.uint64)
+        self.codes: list[tuple[int, int, int]] = []
+        self.table = np.zeros((0, 3), np.uint64)
 
     def encode(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(words, whether each opens a sentence, template code of each)."""
@@ -53,11 +55,12 @@ class Templates:
         for t in set(tokens).difference(self.ids):
             w = t.rstrip(".!?\n")
             self.ids[t] = len(self.codes)
-            self.codes.append(tuple(xxhash.xxh64_intdigest(kind(w, f) or w.lower()) for f in (False, True)))
+            self.codes.append((*(xxhash.xxh64_intdigest(kind(w, f) or w.lower()) for f in (False, True)), t[-1] in ".!?\n"))
         if len(self.table) < len(self.codes):
             self.table = np.concatenate([self.table, np.array(self.codes[len(self.table):], np.uint64)])
         at = np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
-        fresh = np.array([True, *[t[-1] in ".!?\n" for t in tokens[:-1]]], bool)[:len(tokens)]
+        fresh = np.ones(len(tokens), bool)
+        fresh[1:] = self.table[at[:-1], 2] == 1
         return tokens, fresh, self.table[at, fresh.astype(np.int64)]
 
 
@@ -120,7 +123,8 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = 8, share: floa
     document holds to at least ``share``, with consistent slots."""
     b = windows(bench, "item_id", width).withColumnRenamed("slots", "b_slots").withColumnRenamed("pos", "b_pos")
     total = b.groupBy("item_id").agg(F.countDistinct("b_pos").alias("total"))
-    hits = windows(docs, "doc_id", width, bit_table(b, bits)).join(b, "h")
+    # few rows, read twice below: written once, so that the texts are read once
+    hits = cut_lineage(windows(docs, "doc_id", width, bit_table(b, bits)).join(b, "h"))
     pair = F.explode(F.arrays_zip(F.split("b_slots", "\t").alias("a"), F.split("slots", "\t").alias("b")))
     clash = (hits.select("doc_id", "item_id", pair.alias("p")).groupBy("doc_id", "item_id", F.col("p.a").alias("a"))
              .agg(F.min("p.b").alias("lo"), F.max("p.b").alias("hi")).groupBy("doc_id", "item_id")
