@@ -27,6 +27,7 @@ from tidemark.session import cut_lineage
 WORD = re.compile(r"[^\W_]+(?:[.!?\n]|\Z)?")
 #: Unit words.
 UNITS = frozenset("m cm mm km kg g mg lb s ms h min l ml usd eur dollars euros hours minutes days years percent".split())
+P = 0x9E3779B97F4A7C15  # odd base of the window hashes
 VOCABULARY = 500_000  # distinct words a task remembers before it starts afresh
 
 
@@ -39,39 +40,53 @@ def kind(word: str, fresh: bool) -> str:
     return "<name>" if word[0].isupper() and not fresh else ""
 
 
-class Templates:
-    """Template codes of texts; remembers the words it has seen."""
+class Templates(dict):
+    """Word to row of ``table``: its template code inside a sentence and at its
+    start, and whether it ends one. Remembers at most ``VOCABULARY`` words
+    between texts."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
-        self.codes: list[tuple[int, int, int]] = []
-        self.table = np.zeros((0, 3), np.uint64)
+        self.table = np.zeros((1 << 12, 3), np.uint64)
+
+    def __missing__(self, token: str) -> int:
+        at = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        w = token.rstrip(".!?\n")
+        self.table[at] = (*(xxhash.xxh64_intdigest(kind(w, f) or w.lower()) for f in (False, True)),
+                          token[-1] in ".!?\n")
+        self[token] = at
+        return at
 
     def encode(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(words, whether each opens a sentence, template code of each)."""
+        if len(self) > VOCABULARY:
+            self.clear()
         tokens = WORD.findall(text)
-        if len(self.ids) > VOCABULARY:
-            self.__init__()
-        for t in set(tokens).difference(self.ids):
-            w = t.rstrip(".!?\n")
-            self.ids[t] = len(self.codes)
-            self.codes.append((*(xxhash.xxh64_intdigest(kind(w, f) or w.lower()) for f in (False, True)), t[-1] in ".!?\n"))
-        if len(self.table) < len(self.codes):
-            self.table = np.concatenate([self.table, np.array(self.codes[len(self.table):], np.uint64)])
-        at = np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
+        at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = self.table[at[:-1], 2] == 1
         return tokens, fresh, self.table[at, fresh.astype(np.int64)]
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each window; fewer words than ``width`` make one window."""
-    n = max(1, len(codes) - width + 1) if len(codes) else 0
-    h = np.full(n, min(width, len(codes)), np.uint64)
-    for j in range(min(width, len(codes))):
-        h = (h ^ codes[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-    return h
+    """Hash of each window, by differences of a running polynomial sum modulo
+    2**64; fewer words than ``width`` make one window."""
+    w = min(width, len(codes))
+    if not w:
+        return np.zeros(0, np.uint64)
+    total = np.cumsum(codes * powers(P, len(codes)), dtype=np.uint64)
+    h = total[w - 1:].copy()
+    h[1:] -= total[:len(codes) - w]
+    h *= powers(pow(P, -1, 1 << 64), len(h))
+    h ^= h >> np.uint64(32)
+    return h * np.uint64(P) + np.uint64(w)
 
 
 def slots(tokens: list[str], fresh: np.ndarray, i: int, width: int) -> str:
