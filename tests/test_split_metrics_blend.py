@@ -140,3 +140,16 @@ def test_sequence_oof_per_fold_and_original(spark):
     a = a.sort_values("k")
     assert np.allclose(a["seq"].to_numpy(), exp, atol=1e-6)
     assert not np.allclose(b.sort_values("k")["seq"].to_numpy(), exp, atol=1e-6)
+
+
+def test_fitted_tree_count_is_the_requested_one(spark):
+    from tidemark.operators import trees
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i), float(i % 7)])) for i in range(60)],
+                               ["label", "features"])
+    for kind in ("gbt", "rf", "gbt_clf"):
+        model = trees.make_estimator(kind, {"n_estimators": 23, "max_depth": 2}).fit(df)
+        assert model.getNumTrees == 23
+    rng = np.random.RandomState(0)
+    assert trees.SEARCHED >= set(trees.sample_params({"gamma": ("float", 0, 1)}, rng))

@@ -60,7 +60,7 @@ def to_spark_params(params: dict, kind: str = "gbt") -> dict:
 
 
 def make_estimator(kind: str, params: dict | None = None, label: str = "label",
-                   features: str = "features", seed: int = RANDOM_STATE, max_iter_cap: int | None = None):
+                   features: str = "features", seed: int = RANDOM_STATE):
     """R2-R7 (+ ridge R1 through ``LinearRegression``)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -71,10 +71,6 @@ def make_estimator(kind: str, params: dict | None = None, label: str = "label",
                                 regParam=float(params.get("regParam", 0.0)), standardization=False,
                                 solver="normal")
     sp = to_spark_params(params, "rf" if kind == "rf" else "gbt")
-    if max_iter_cap is not None:
-        for k in ("maxIter", "numTrees"):
-            if k in sp:
-                sp[k] = min(sp[k], max_iter_cap)
     common = dict(featuresCol=features, labelCol=label, seed=seed)
     if kind == "gbt":
         return GBTRegressor(**common, **sp)
@@ -142,8 +138,9 @@ class FoldCV:
 
         def run(f):
             train = self._train_slice(f, holdout)
-            # a factory with a parameter gets the fold's training rows
-            est = (make(train) if signature(make).parameters else make()).setLabelCol(label)
+            # a factory with a parameter that has no default gets the fold's training rows
+            wants = any(p.default is p.empty for p in signature(make).parameters.values())
+            est = (make(train) if wants else make()).setLabelCol(label)
             if holdout > 0:
                 est = est.setValidationIndicatorCol("_is_val")
             model = est.fit(train)
@@ -203,6 +200,11 @@ class FoldCV:
         return _score(model, tdata, classifier, name).select(self.key, name)
 
 
+#: Search-space names that ``to_spark_params`` maps.
+SEARCHED = frozenset(["n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "min_child_samples",
+                      "min_child_weight", "subsample", "max_features", "colsample_bytree", "gamma"])
+
+
 def sample_params(space: dict, rng: np.random.RandomState) -> dict:
     out = {}
     for k, (kind, lo, hi) in space.items():
@@ -216,16 +218,17 @@ def sample_params(space: dict, rng: np.random.RandomState) -> dict:
 
 
 def random_search(cv: FoldCV, kind: str, space: dict, n_trials: int, seed: int = RANDOM_STATE,
-                  classifier: bool = False, max_iter_cap: int | None = None) -> DataFrame:
+                  classifier: bool = False) -> DataFrame:
     """C4: seeded random trials from a search space, each scored by the mean
     over folds of the search Sharpe (mean / (std + 1e-8)); returns the trial
-    table ``(trial, params, score)`` (params as JSON)."""
+    table ``(trial, params, score)`` (params as JSON). Names that no Spark
+    parameter stands for are not sampled, so every reported value was fitted."""
     rng = np.random.RandomState(seed)
+    space = {k: v for k, v in space.items() if k in SEARCHED}
     rows = []
     for t in range(n_trials):
         params = sample_params(space, rng)
-        oof = cv.oof(lambda p=params: make_estimator(kind, p, max_iter_cap=max_iter_cap),
-                     "pred", classifier)
+        oof = cv.oof(lambda p=params: make_estimator(kind, p), "pred", classifier)
         per = oof.where(F.col(cv.seg) >= 1).groupBy(cv.seg).agg(
             sharpe_search_agg("pred", cv.label).alias("s"))
         score = per.agg(F.avg("s")).first()[0]
