@@ -4,7 +4,7 @@ Every ``size``-byte window is routed by its minimiser, an anchor that depends
 on the window's bytes alone, so equal windows meet. Anchors that occur once are
 settled; of the rest, distinct segments form shards. Each shard builds a
 suffix array by prefix doubling that re-sorts unsettled groups only, and
-neighbours' common prefixes show repeated windows. Null texts are empty;
+Kasai's common prefixes of neighbours show repeated windows. Null texts are empty;
 repeated rows repeat each other's bytes; an empty table gives no rows.
 """
 
@@ -74,16 +74,34 @@ def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
     return sa
 
 
+def common_prefixes(x: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, length) of each position: the suffix sorted just before it, -1 for
+    the first, and the length of their common prefix. Kasai's lemma: where the
+    symbols to the left of both agree, the length is that of the position to the
+    left less one; only the other positions are compared. ``sa`` is fully sorted
+    and the last symbol of ``x`` occurs once."""
+    before = np.full(len(x), -1, np.int64)
+    before[sa[1:]] = sa[:-1]
+    i = np.arange(len(x))
+    known = (i > 0) & (before > 0)
+    known[known] = x[i[known] - 1] == x[before[known] - 1]
+    start = np.flatnonzero(~known)
+    length = np.zeros(len(x), np.int64)
+    live, n = start[before[start] >= 0], 0
+    while len(live):
+        live = live[x[live + n] == x[before[live] + n]]
+        n += 1
+        length[live] = n
+    last = start[np.cumsum(~known) - 1]
+    return before, length[last] - (i - last)
+
+
 def repeated(x: np.ndarray, size: int) -> np.ndarray:
     """Whether each position starts a ``size``-symbol string that starts elsewhere too."""
-    sa = suffix_array(x, size)
-    a, b = sa[:-1], sa[1:]
-    live = np.flatnonzero(np.maximum(a, b) + size <= len(x))
-    for i in range(size):
-        live = live[x[a[live] + i] == x[b[live] + i]]
-    out = np.zeros(len(x), bool)
-    out[a[live]] = out[b[live]] = True
-    return out
+    before, length = common_prefixes(x, suffix_array(x, len(x)))
+    hit = length >= size
+    hit[before[hit]] = True
+    return hit
 
 
 def _shard(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
@@ -100,8 +118,11 @@ def _shard(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["h", "md", "lo", "hi"])
 
 
-def dedup(docs: DataFrame, size: int = 400, shards: int = 512) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row. There is a
+    shard for each ``shard_bytes`` of text, so that shards keep their size."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = 1 + total // shard_bytes
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumn("key", F.xxhash64("doc_id", "text"))
 
