@@ -128,6 +128,21 @@ def test_suffix_dedup(docs, edge):
         assert r.kept_sha256 == hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
 
 
+def test_common_prefixes():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 300):
+        x = np.append(rng.integers(0, 2, n), -1)
+        x = np.concatenate([x, x[:-1], [-2]])
+        sa = suffix_dedup.suffix_array(x, len(x))
+        assert sa.tolist() == sorted(range(len(x)), key=lambda i: x[i:].tolist())
+        before, length = suffix_dedup.common_prefixes(x, sa)
+        for a, b in zip(sa[:-1], sa[1:]):
+            both = list(zip(x[a:].tolist(), x[b:].tolist()))
+            want = next(i for i, (p, q) in enumerate(both) if p != q)
+            assert (before[b], length[b]) == (a, want)
+        assert before[sa[0]] == -1 and length[sa[0]] == 0
+
+
 def test_packing_boundaries_are_optimal():
     u, c = [1, 2, 5, 9], [5, 1, 7, 2]
     pad = lambda bs: sum(n * (min(b for b in bs if b >= x) - x) for x, n in zip(u, c))
@@ -143,11 +158,27 @@ def test_packing_covers_all_tokens(docs, edge):
 
 
 def test_fixity_finds_damage(spark):
-    pages = spark.read.parquet(f"{SF}/pages.parquet")
-    a = fixity.records(pages)
-    assert fixity.audit(a, fixity.records(pages)).count() == 0
-    b = fixity.records(pages.selectExpr("page_id", "url", "if(page_id = 3, 'x', html) html"))
-    assert [r.page_id for r in fixity.audit(a, b).collect()] == [3]
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    a = fixity.records(pages, 3)
+    found = lambda b: sorted((r.page_id, r.status, r.copies) for r in fixity.audit(a, fixity.records(b, 3)).collect())
+    assert found(pages) == []
+    assert found(pages.selectExpr("page_id", "url", "if(page_id = 3, 'x', html) html")) == [(3, "corrupt", 1)]
+    assert found(pages.where("page_id <> 5")) == [(5, "missing", 1)]
+    assert found(pages.union(pages.selectExpr("-1L", "url", "html").limit(1))) == [(-1, "extra", 1)]
+    assert len(found(pages.limit(0))) == pages.count()
+
+
+def test_fixity_edge_rows(spark):
+    rows = [(None, None, None, 1), (1, "u", "", 2), (1, "u", "", 3), (1, "u", "other", 4), (2, None, "é" * 9000, 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, leaf int")
+    a = fixity.records(pages, 2)
+    assert {(r.page_id, r.copies) for r in a.collect()} == {(None, 1), (1, 2), (1, 1), (2, 1)}
+    for r in a.collect():
+        assert r.offset == sum(x.length * x.copies for x in a.collect() if x.file == r.file and (
+            x.pos, x.page_id, x.url, x.leaf) < (r.pos, r.page_id, r.url, r.leaf))
+    assert fixity.audit(a, a).count() == 0
+    got = fixity.audit(a, fixity.records(pages.where("leaf not in (1, 3)"), 2)).collect()
+    assert sorted((str(r.page_id), r.status, r.copies) for r in got) == [("1", "missing", 1), ("None", "missing", 1)]
 
 
 def test_licenses(spark):
