@@ -17,23 +17,32 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 K = 48
+BASE = 0x9E3779B97F4A7C15  # odd base of the gram hashes
+PACK = 7  # symbols of the first sort key
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """64-bit hash of each K-byte string."""
+    """64-bit hash of each K-byte string, by differences of a running polynomial sum."""
     if len(b) < K:
         return np.zeros(0, np.uint64)
-    h = np.zeros(len(b) - K + 1, np.uint64)
-    for i in range(K):
-        h = h * np.uint64(0x9E3779B97F4A7C15 | 1) + b[i:i + len(h)].astype(np.uint64) + np.uint64(1)
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b + np.uint64(1)) * _powers(BASE, len(b)), dtype=np.uint64, out=total[1:])
+    h = (total[K:] - total[:-K]) * _powers(pow(BASE, -1, 1 << 64), len(b) - K + 1)
     h ^= h >> np.uint64(29)
-    return h * np.uint64(0xBF58476D1CE4E5B9) ^ (h >> np.uint64(32))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
-def segments(text: bytes, size: int) -> list[tuple[int, int, int]]:
-    """(start, end, anchor hash): windows that share an anchor, as one segment."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def segments(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and anchor hashes: windows that share an anchor, as one segment."""
     if len(text) < size:
-        return []
+        return (np.zeros(0, np.int64),) * 3
     h, w = gram_hashes(np.frombuffer(text, np.uint8)), size - K + 1
     key = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
     pad = np.concatenate([key, np.full(-len(key) % w, ~np.uint64(0))]).reshape(-1, w)
@@ -42,34 +51,36 @@ def segments(text: bytes, size: int) -> list[tuple[int, int, int]]:
     n = len(text) - size + 1
     at = (np.minimum(suf[:n], pre[w - 1:w - 1 + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     cut = np.flatnonzero(np.diff(at, prepend=-1))
-    return [(int(s), int(e) + size - 1, int(h[at[s]]) - (1 << 63)) for s, e in zip(cut, [*cut[1:], n])]
-
-
-def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``x`` sorted by their first ``depth`` symbols or more."""
-    rank = np.unique(x, return_inverse=True)[1].astype(np.int64) + 1
-    sa = np.argsort(rank, kind="stable")
-    h = 1
-    while h < depth:
-        r = rank[sa]
-        same = np.zeros(len(sa), bool)
-        same[1:] = r[1:] == r[:-1]
-        open_ = same | np.append(same[1:], False)
-        if not open_.any():
-            break
-        i = np.flatnonzero(open_)
+    return cut, np.append(cut[1:], n) + size - 1, h[at[cut]].astype(np.int64)
+
+
+def suffix_array(x: np.ndarray) -> np.ndarray:
+    """Sorted suffixes of ``x``, whose bytes are 0 to 255 and whose other symbols,
+    below 0, end texts: each of them is unlike all others, earlier ones sort first.
+    The first key packs ``PACK`` symbols up to an end; refinement then doubles the
+    length and sorts the groups that are still unsettled alone."""
+    n = len(x)
+    key, ended = np.zeros(n, np.int64), np.zeros(n, bool)
+    symbols = np.concatenate([np.maximum(x, -1) + 1, np.zeros(PACK, np.int64)])
+    for i in range(PACK):
+        ended |= symbols[i:i + n] == 0
+        key = key << 9 | np.where(ended, 0, symbols[i:i + n])
+    sa = np.argsort(key, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = (key[sa[1:]] != key[sa[:-1]]) | ended[sa[1:]] | ended[sa[:-1]]
+    rank = np.empty(n, np.int64)
+    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    h, i = PACK, np.flatnonzero(~(new & np.append(new[1:], True)))
+    while len(i):
         s = sa[i]
-        nxt = np.where(s + h < len(x), rank[np.minimum(s + h, len(x) - 1)], 0)
-        order = np.lexsort((nxt, rank[s]))
-        s, nxt = s[order], nxt[order]
+        key = rank[s] * n + rank[s + h]
+        order = np.argsort(key)
+        s, key = s[order], key[order]
         sa[i] = s
-        first = rank[s]
         new = np.ones(len(s), bool)
-        new[1:] = (first[1:] != first[:-1]) | (nxt[1:] != nxt[:-1])
-        rank[s] = i[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))] + len(x) + 2
-        done = np.ones(len(sa), bool)
-        done[i] = False
-        rank[sa[done]] = np.flatnonzero(done) + len(x) + 2
+        new[1:] = key[1:] != key[:-1]
+        rank[s] = i[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))]
+        i = i[~(new & np.append(new[1:], True))]
         h *= 2
     return sa
 
@@ -98,23 +109,29 @@ def common_prefixes(x: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def repeated(x: np.ndarray, size: int) -> np.ndarray:
     """Whether each position starts a ``size``-symbol string that starts elsewhere too."""
-    before, length = common_prefixes(x, suffix_array(x, len(x)))
+    before, length = common_prefixes(x, suffix_array(x))
     hit = length >= size
     hit[before[hit]] = True
     return hit
 
 
 def _shard(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
-    parts, at = [], 0
-    for i, c in enumerate(pdf["content"]):
-        parts += [np.frombuffer(c, np.uint8).astype(np.int64), np.array([-1 - i])]
-    flag = repeated(np.concatenate(parts), size)
-    rows = []
-    for h, md, n, c in zip(pdf["h"], pdf["md"], pdf["n"], pdf["content"]):
-        hit = flag[at:at + len(c) - size + 1] | (n > 1)
-        at += len(c) + 1
-        edge = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
-        rows += [(h, md, int(s), int(e) + size - 1) for s, e in zip(edge[::2], edge[1::2])]
+    """Repeated runs of a shard's distinct segments. A segment that is alone with its
+    anchor repeats wholly or not at all and needs no sorting."""
+    alone = ~pdf["h"].duplicated(keep=False).to_numpy()
+    whole = pdf[alone & (pdf["n"] > 1).to_numpy()]
+    rows = [(h, md, 0, len(c)) for h, md, c in zip(whole["h"], whole["md"], whole["content"])]
+    pdf = pdf[~alone]
+    if len(pdf):
+        parts, at = [], 0
+        for i, c in enumerate(pdf["content"]):
+            parts += [np.frombuffer(c, np.uint8).astype(np.int64), np.array([-1 - i])]
+        flag = repeated(np.concatenate(parts), size)
+        for h, md, n, c in zip(pdf["h"], pdf["md"], pdf["n"], pdf["content"]):
+            hit = flag[at:at + len(c) - size + 1] | (n > 1)
+            at += len(c) + 1
+            edge = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
+            rows += [(h, md, int(s), int(e) + size - 1) for s, e in zip(edge[::2], edge[1::2])]
     return pd.DataFrame(rows, columns=["h", "md", "lo", "hi"])
 
 
@@ -128,22 +145,27 @@ def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18) -> DataF
 
     def anchors(batches):
         for pdf in batches:
-            yield pd.DataFrame([(k, s, h) for k, t in zip(pdf["key"], pdf["text"])
-                                for s, _, h in segments(t.encode(), size)], columns=["key", "start", "h"])
+            found = [segments(t.encode(), size) for t in [*pdf["text"], ""]]
+            yield pd.DataFrame({"key": np.repeat(pdf["key"].to_numpy(), [len(s) for s, _, _ in found[:-1]]),
+                                "start": np.concatenate([s for s, _, _ in found]),
+                                "h": np.concatenate([h for _, _, h in found])})
 
     def content(batches):
         for pdf in batches:
             rows = []
             for k, t, want in zip(pdf["key"], pdf["text"], pdf["want"]):
-                t, want = t.encode(), set(want)
+                t = t.encode()
+                cuts = segments(t, size)
+                pick = np.isin(cuts[0], want)
                 rows += [(k, s, h, hashlib.md5(t[s:e]).digest(), t[s:e])
-                         for s, e, h in segments(t, size) if s in want]
+                         for s, e, h in zip(*(c[pick].tolist() for c in cuts))]
             yield pd.DataFrame(rows, columns=["key", "start", "h", "md", "content"])
 
     narrow = base.select("key", "text").mapInPandas(anchors, "key long, start int, h long")
     shared = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     want = narrow.join(shared, "h").groupBy("key").agg(F.collect_set("start").alias("want"))
-    segs = base.select("key", "text").join(want, "key").mapInPandas(
+    # the columns of the last join, so that the texts are shuffled once
+    segs = base.join(want, "key").mapInPandas(
         content, "key long, start int, h long, md binary, content binary")
     hits = (segs.groupBy("h", "md").agg(F.count("*").alias("n"), F.first("content").alias("content"))
             .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard")
