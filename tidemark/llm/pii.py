@@ -61,31 +61,35 @@ def matches(text, kind: str, pattern: str):
     return F.transform(found, one)
 
 
-def redact(text):
-    """The text with its base spans replaced by <KIND>, email first."""
-    for kind, pattern in PATTERNS:
-        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        put = F.transform(found, lambda m: F.when(valid(kind, m), f"<{kind.upper()}>").otherwise(m))  # noqa: B023
-        text = F.array_join(F.zip_with(F.split(text, pattern, -1), put, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
-    return text
+def around(c):
+    """Class of a neighbouring character."""
+    return F.when(c.rlike("[A-Za-z]"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike(r"\s"), 3).otherwise(0)
 
 
-def scan(docs: DataFrame, precision: float = 0.9) -> DataFrame:
-    """doc_id, counts, base_sha256, spans (code points, end exclusive)."""
+def shape(m):
+    """Format features of a loose candidate."""
+    return [F.length(_digits(m)).alias("digits"),
+            F.least(F.length(F.regexp_replace(m, r"[0-9]", "")), F.lit(9)).alias("marks")]
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """doc_id, base (valid spans), loose (cells of features of the loose candidates)."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("t"), F.array_sort(F.concat(*[
         matches(text, k, p) for k, p in PATTERNS])).alias("base"), matches(text, *LOOSE).alias("loose"))
-    kept = F.filter("base", lambda x: x.ok)
 
     def cell(x):
-        around = lambda c: F.when(c.rlike("[A-Za-z]"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike(r"\s"), 3).otherwise(0)
-        return F.struct(x.s.alias("s"), x.e.alias("e"), F.length(_digits(x.txt)).alias("digits"),
-                        F.least(F.length(F.regexp_replace(x.txt, r"[0-9]", "")), F.lit(9)).alias("marks"),
+        return F.struct(x.s.alias("s"), x.e.alias("e"), *shape(x.txt),
                         F.when(x.s > 0, around(F.substring(F.col("t"), x.s, F.lit(1)))).otherwise(3).alias("before"),
                         around(F.substring(F.col("t"), x.e + 1, F.lit(1))).alias("after"),
                         F.exists(F.filter("base", lambda b: b.ok), lambda b: (b.s < x.e) & (x.s < b.e)).alias("hit"))
 
-    rows = rows.select("doc_id", kept.alias("base"), F.transform("loose", cell).alias("loose"))
+    return rows.select("doc_id", F.filter("base", lambda x: x.ok).alias("base"),
+                       F.transform("loose", cell).alias("loose"))
+
+
+def choose(rows: DataFrame, precision: float = 0.9) -> list[tuple]:
+    """Cells of features that the boosted trees select at ``precision``."""
     cells = rows.select(F.explode("loose").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES],
         F.col("c.hit").cast("double").alias("label")).agg(F.count("*").cast("double").alias("w")).coalesce(1).cache()
     chosen = []
@@ -99,10 +103,42 @@ def scan(docs: DataFrame, precision: float = 0.9) -> DataFrame:
             good, seen = good + r.w * r.label, seen + r.w
             if good >= precision * seen:
                 chosen = sorted({tuple(x[f] for f in FEATURES) for x in got[:i + 1]})
-    pick = F.lit(False)
+    cells.unpersist()
+    return chosen
+
+
+def named(chosen: list[tuple]):
+    return F.array(*[F.lit("-".join(map(str, c))) for c in chosen])
+
+
+def redact(text, chosen: list[tuple] = ()):
+    """The text with its base spans replaced by <KIND>, email first, then the
+    loose candidates of ``chosen`` cells by <NUMBER>."""
+    for kind, pattern in PATTERNS:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        put = F.transform(found, lambda m: F.when(valid(kind, m), f"<{kind.upper()}>").otherwise(m))  # noqa: B023
+        text = F.array_join(F.zip_with(F.split(text, pattern, -1), put, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+    if not chosen:
+        return text
+    kind, pattern = LOOSE
+    pieces = F.split(text, pattern, -1)
+
+    def mask(m, i):
+        left, right = F.get(pieces, i), F.get(pieces, i + 1)
+        before = F.when(left == "", 3).otherwise(around(F.right(left, F.lit(1))))
+        name = F.concat_ws("-", *shape(m), before, around(F.left(right, F.lit(1))))
+        return F.when(F.array_contains(named(chosen), name), f"<{kind.upper()}>").otherwise(m)
+
+    put = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), mask)
+    return F.array_join(F.zip_with(pieces, put, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+
+
+def scan(docs: DataFrame, precision: float = 0.9) -> DataFrame:
+    """doc_id, counts, base_sha256, spans (code points, end exclusive)."""
+    rows = candidates(docs)
+    chosen = choose(rows, precision)
     if chosen:
-        names = F.array(*[F.lit("-".join(map(str, c))) for c in chosen])
-        pick = lambda x: ~x.hit & F.array_contains(names, F.concat_ws("-", *[x[f] for f in FEATURES]))
+        pick = lambda x: ~x.hit & F.array_contains(named(chosen), F.concat_ws("-", *[x[f] for f in FEATURES]))
         more = F.transform(F.filter("loose", pick), lambda x: F.struct(x.s, F.lit(4), F.lit("number"), x.e))
     else:
         more = F.expr("cast(array() as array<struct<s:int,o:int,k:string,e:int>>)")
