@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import (ann, decontaminate, fixity, licenses, neardup, packing, pii, secrets,
                           suffix_dedup, toxicity)
@@ -47,6 +48,15 @@ def test_pii_base_spans(docs, edge):
         assert got == want
 
 
+def test_pii_redacts_base_and_chosen(spark):
+    rows = [(1, "write a.b@c.org or 555-0199-22 now"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cell = [(9, 2, 3, 3)]  # digits, marks, blank before, blank after
+    for chosen, want in (([], "write <EMAIL> or 555-0199-22 now"), (cell, "write <EMAIL> or <NUMBER> now")):
+        got = {r.doc_id: r.t for r in df.select("doc_id", pii.redact(F.col("text"), chosen).alias("t")).collect()}
+        assert got == {1: want, 2: None, 3: ""}
+
+
 def test_secrets(edge, docs):
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
     for r in docs.collect():
