@@ -26,7 +26,8 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.withColumn("text", pii.redact(F.col("text"))).withColumn(
+    chosen = pii.choose(pii.candidates(docs))
+    return docs.withColumn("text", pii.redact(F.col("text"), chosen)).withColumn(
         "n_chars", F.length("text").cast("long"))
 
 
