@@ -111,26 +111,36 @@ def named(chosen: list[tuple]):
     return F.array(*[F.lit("-".join(map(str, c))) for c in chosen])
 
 
+def _with(value, f):
+    """f(value), with ``value`` evaluated once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _replaced(text, pattern: str, put):
+    """``text`` with each match m between the pieces i and i + 1 as put(pieces, m, i)."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _with(F.split(text, pattern, -1), lambda pieces: F.array_join(F.zip_with(
+        pieces, F.transform(found, lambda m, i: put(pieces, m, i)),
+        lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), ""))
+
+
 def redact(text, chosen: list[tuple] = ()):
     """The text with its base spans replaced by <KIND>, email first, then the
     loose candidates of ``chosen`` cells by <NUMBER>."""
     for kind, pattern in PATTERNS:
-        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        put = F.transform(found, lambda m: F.when(valid(kind, m), f"<{kind.upper()}>").otherwise(m))  # noqa: B023
-        text = F.array_join(F.zip_with(F.split(text, pattern, -1), put, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+        put = lambda pieces, m, i, kind=kind: F.when(valid(kind, m), f"<{kind.upper()}>").otherwise(m)
+        text = _with(text, lambda t: _replaced(t, pattern, put))  # noqa: B023
     if not chosen:
         return text
     kind, pattern = LOOSE
-    pieces = F.split(text, pattern, -1)
 
-    def mask(m, i):
+    def mask(pieces, m, i):
         left, right = F.get(pieces, i), F.get(pieces, i + 1)
         before = F.when(left == "", 3).otherwise(around(F.right(left, F.lit(1))))
         name = F.concat_ws("-", *shape(m), before, around(F.left(right, F.lit(1))))
         return F.when(F.array_contains(named(chosen), name), f"<{kind.upper()}>").otherwise(m)
 
-    put = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), mask)
-    return F.array_join(F.zip_with(pieces, put, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+    return _with(text, lambda t: _replaced(t, pattern, mask))
 
 
 def scan(docs: DataFrame, precision: float = 0.9) -> DataFrame:
