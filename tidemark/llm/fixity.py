@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import cut_lineage
+
 
 def file_count(pages: DataFrame, per_file: int = 1024) -> int:
     """Number of WARC files, so that a file holds about ``per_file`` records at any size."""
@@ -50,7 +52,8 @@ def _node(order: list, said) -> Column:
 def tree(rec: DataFrame, fan: int, ranges: int) -> list[DataFrame]:
     """Levels (file, pos, leaf) from the ranges up to the root of each file."""
     said = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "leaf", "copies")
-    levels = [rec.groupBy("file", "pos").agg(_node(["page_id", "url", "leaf"], said))]
+    # read by every level above and by the descent: written once
+    levels = [cut_lineage(rec.groupBy("file", "pos").agg(_node(["page_id", "url", "leaf"], said)))]
     while ranges > 1:
         up = F.floor(F.col("pos") / fan)
         levels.append(levels[-1].groupBy("file", up.alias("up")).agg(_node(["pos"], F.col("leaf")))
