@@ -108,7 +108,13 @@ def groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
     table = hit.select("id", F.explode(F.flatten(F.transform(left, lambda a: F.transform(
         right, lambda b: F.xxhash64(a.pos, a.key, b.pos, b.key))))).alias("t"))
     star = table.groupBy("t").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    edges = table.join(star, "t").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    # an id keeps a link to its smallest centre m, and m takes its links to the other
+    # centres (at most m * m): the components stay, a large group needs few links
+    tops = table.join(star, "t").where("id <> a").groupBy("id").agg(F.collect_set("a").alias("c"))
+    low = F.array_min("c")
+    pairs = F.concat(F.array(F.struct(low.alias("a"), F.col("id").alias("b"))),
+                     F.transform("c", lambda a: F.struct(a.alias("a"), low.alias("b"))))
+    edges = tops.select(F.inline(pairs)).where("a <> b").distinct()
     cand = components(edges)
     linked = cand.join(reps.select("id", "s"), "id").groupBy(F.col("label").alias("c")).applyInPandas(
         lambda pdf: confirm(pdf, num, den), "id long, label long")
