@@ -228,3 +228,16 @@ def test_toxicity_held_out(spark):
     got = toxicity.score(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
     rows = got.join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) >= 0.9
+
+
+def test_toxicity_german_french_recall(spark):
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    rows = toxicity.score(docs, labels).where("held_out").join(labels, "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").where("toxic is not null").collect()
+    for lang, least in (("en", 0.9), ("de", 0.8), ("fr", 0.8)):
+        bad = [r.predicted for r in rows if r.lang == lang and r.toxic == 1]
+        assert sum(bad) >= least * len(bad)
+    fine = [r.predicted for r in rows if r.toxic == 0]
+    assert sum(fine) <= 0.02 * len(fine)
