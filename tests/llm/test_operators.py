@@ -241,3 +241,14 @@ def test_toxicity_german_french_recall(spark):
         assert sum(bad) >= least * len(bad)
     fine = [r.predicted for r in rows if r.toxic == 0]
     assert sum(fine) <= 0.02 * len(fine)
+
+
+def test_toxicity_counts_are_exact(spark):
+    rows = [(f"w{i} bad{i}bad good", y) for i in range(40) for y in (1, 1, 1, 0, 0)]
+    model = toxicity.train(spark.createDataFrame(rows, "text string, y int"))
+    n = model.count()
+    assert model.select("h").distinct().count() == n
+    got = toxicity.statistics(spark.createDataFrame([(1, "w3"), (2, "good"), (3, "new")], "doc_id long, text string"),
+                              model).collect()
+    want = {1: np.log(3 * 1.0 / 2), 2: np.log(120 / 80)}
+    assert {r.doc_id: round(r.stat, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
