@@ -252,3 +252,36 @@ def test_toxicity_counts_are_exact(spark):
                               model).collect()
     want = {1: np.log(3 * 1.0 / 2), 2: np.log(120 / 80)}
     assert {r.doc_id: round(r.stat, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_licenses_of_real_texts(spark):
+    mit = ("MIT License\n\nCopyright (c) 2020 A. B.\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\nin the Software.\n\n"
+           "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING.")
+    bsd = ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that:\n"
+           "# 1. Redistributions of source code must retain the above.\n")
+    rows = [
+        (mit, "MIT"),
+        ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file", "Apache-2.0"),
+        (bsd, "BSD-2-Clause"),
+        (bsd + "# Neither the name of X nor the names of its contributors may be used to endorse or\n"
+         "# promote products derived from this software without specific prior written permission.", "BSD-3-Clause"),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+         "granted.\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES", "ISC"),
+        ("you can redistribute it and/or modify it. Distributed under the terms of the GNU Lesser General\n"
+         "Public License as published by the Free Software Foundation; either version 2.1 of the\n"
+         "License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+        ("Released under the GNU General Public License version 2", "GPL-2.0"),
+        ("licensed under the GNU Affero General Public License v3.0", "AGPL-3.0"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("/* SPDX-License-Identifier: (MIT OR Apache-2.0) */", "Apache-2.0,MIT"),
+        ("this is not released under the MIT license", ""),
+        ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+        ("it is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+         "as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+         "GPL-3.0-or-later"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(df).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(rows)}
