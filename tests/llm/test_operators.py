@@ -285,3 +285,14 @@ def test_licenses_of_real_texts(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r.licenses for r in licenses.scan(df).collect()}
     assert got == {i: w for i, (_, w) in enumerate(rows)}
+
+
+def test_decontamination_judges_each_occurrence(spark):
+    item = "a box holds 5 red balls and 5 blue balls so how many balls are in it"
+    other = item.replace("5 red", "8 red").replace("5 blue", "9 blue")
+    third = item.replace("5 red", "2 red").replace("5 blue", "3 blue")
+    gap = " then we talked for a long time about the weather and went home again "
+    rows = [(1, item + gap + other), (2, other + gap + third), (3, other), (4, gap)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.exact_slots for r in got} == {1: True, 2: False, 3: False}
