@@ -296,3 +296,13 @@ def test_decontamination_judges_each_occurrence(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = decontaminate.contamination(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert {r.doc_id: r.exact_slots for r in got} == {1: True, 2: False, 3: False}
+
+
+def test_decontamination_finds_short_items_in_long_documents(spark):
+    talk = "we talked for a long time about many things and then somebody asked "
+    rows = [(1, talk + "What is entropy exactly and left"), (2, talk + "how many is 7 plus 9 and left"),
+            (3, talk + "how many is 7 plus 8 and left"), (4, talk), (5, "how many is 1 plus 2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "What is entropy"), (2, "how many is 7 plus 9")], "item_id long, text string")
+    got = decontaminate.contamination(df, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (5, 2)]
