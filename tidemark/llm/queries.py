@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, fixity, licenses, neardup, packing, pii, secrets, suffix_dedup, toxicity
+from tidemark.llm import (ann, decontaminate, fixity, licenses, neardup, packing, periodic, pii, search, secrets,
+                          suffix_dedup, tokens, toxicity)
 
 
 def _table(spark, sf_dir, name):
@@ -35,5 +37,9 @@ QUERIES = {
     "op8_fixity": _fixity,
     "op9_neardup": lambda s, d: neardup.groups(_table(s, d, "documents"), 3, 85, 100),
     "op10_licenses": lambda s, d: licenses.scan(_table(s, d, "documents")),
+    "op11_token_counts": lambda s, d: tokens.count_tokens(
+        _table(s, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")),
+    "op12_lexical_search": lambda s, d: search.rank_items(_table(s, d, "documents"), _table(s, d, "benchmark")),
+    "op13_periodic_runs": lambda s, d: periodic.scan(_table(s, d, "documents"), periodic.spliced),
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_lexical_search": search.ORACLE}
