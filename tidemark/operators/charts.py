@@ -24,7 +24,7 @@ def _q(c):
 def histogram(df: DataFrame, cols, bins: int = FEATURE_BINS) -> DataFrame:
     """V2: ``(column_name, bin, lo, hi, n)`` for equal-width bins over [min, max]
     per column (last bin closed). A constant column uses [x-0.5, x+0.5] like
-    numpy. Empty bins are omitted."""
+    numpy. Every bin of a column with values has a row, empty ones with n = 0."""
     cols = list(cols)
     row = df.agg(*[F.min(_q(c).cast("double")).alias(f"{c}__lo") for c in cols],
                  *[F.max(_q(c).cast("double")).alias(f"{c}__hi") for c in cols]).first()
@@ -49,8 +49,9 @@ def histogram(df: DataFrame, cols, bins: int = FEATURE_BINS) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     edge_df = df.sparkSession.createDataFrame(
         [(c, float(lo), float(hi)) for c, (lo, hi) in edges.items()], "column_name string, mn double, mx double")
-    # one row per column on the small side
-    out = counts.join(F.broadcast(edge_df), "column_name")
+    # bins x columns rows on both sides
+    every = edge_df.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    out = every.join(counts, ["column_name", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
     return out.select("column_name", "bin", (F.col("mn") + F.col("bin") * width).alias("lo"),
                       (F.col("mn") + (F.col("bin") + 1) * width).alias("hi"), "n")
@@ -83,10 +84,10 @@ def corr_pairs(df: DataFrame, cols, lower_only: bool = True, method: str = "pair
 
     ``method='pairwise'`` (default): pairwise-complete ``corr`` aggregates in
     one job, transposed by a single ``stack`` - exact with nulls, but the
-    number of aggregates grows with p^2. ``method='gramian'``: one moment
-    pass (numpy inside tasks, summed by Spark) gives all p^2 correlations
-    from a (p+2)^2 matrix; rows with any null are dropped, so use it on
-    null-free data (e.g. after imputation) and for wide feature sets.
+    number of aggregates grows with p^2. ``method='gramian'``: one pass of
+    masked moment matrices (numpy inside tasks, summed by Spark) gives all p^2
+    correlations, each over the rows where both columns are non-null; for wide
+    feature sets.
     """
     cols = list(cols)
     if method == "gramian":
@@ -152,19 +153,20 @@ def leaderboard(summary: DataFrame) -> DataFrame:
 def _corr_gramian(df: DataFrame, cols, lower_only: bool) -> DataFrame:
     import numpy as np
 
-    from .linear import segment_moments
+    from .linear import masked_moments
 
-    moments, _ = segment_moments(df, cols[:-1], cols[-1], None)
-    m = moments[0]
-    n = m[0, 0]
-    s1 = m[0, 1:]
-    cov = m[1:, 1:] - np.outer(s1, s1) / n
-    sd = np.sqrt(np.diag(cov))
+    m = masked_moments(df, cols)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = m["c"] - m["s"] * m["s"].T / m["n"]
+        var = m["q"] - m["s"] ** 2 / m["n"]
+        corr = cov / np.sqrt(var * var.T)
+    # a variance within rounding of 0 has no correlation
+    flat = (var <= 1e-14 * np.maximum(m["q"], 1e-300)) | (m["n"] < 2)
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if lower_only and j <= i:
                 continue
-            den = sd[i] * sd[j]
-            rows.append((a, b, float(cov[i, j] / den) if den > 0 else None))
+            none = flat[i, j] or flat[j, i]
+            rows.append((a, b, None if none else 1.0 if i == j else float(corr[i, j])))
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, corr double")

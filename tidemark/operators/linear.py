@@ -74,6 +74,35 @@ def segment_moments(df: DataFrame, features, label: str, seg_col: str | None = "
     return {s: v.reshape(k, k) for s, v in out.items()}, shift
 
 
+def masked_moments(df: DataFrame, cols) -> dict:
+    """Pairwise-complete moments of every pair of columns in one pass.
+
+    Entry [a, b] covers the rows where both are non-null: ``n`` rows, ``s`` the sum of a, ``q`` the
+    sum of a squared, ``c`` the sum of a times b, of values less the column means (nulls left out).
+    Four p x p matrices per task cross the shuffle, whatever the rows."""
+    cols = list(cols)
+    p = len(cols)
+    shift = global_means(df, cols)
+    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches):
+        import pyarrow as pa
+
+        sums = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - shift
+            here = ~np.isnan(x)
+            mask, x = here.astype(float), np.where(here, x, 0.0)
+            sums += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], names=["pos", "v"])
+
+    parts = data.mapInArrow(run, "pos long, v double").groupBy("pos").agg(F.sum("v").alias("v"))
+    flat = np.zeros(4 * p * p)
+    for r in parts.collect():  # 4 p^2 numbers
+        flat[r["pos"]] = r["v"]
+    return dict(zip("nsqc", flat.reshape(4, p, p)))
+
+
 @dataclass
 class RidgeFit:
     """A fitted ridge in raw coordinates: ``y = intercept + x . coef``."""

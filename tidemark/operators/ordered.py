@@ -177,9 +177,10 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
 
     ``lag_fill='mean'`` fills lag gaps with the whole-series mean (per key when
     keyed), as the original study does; ``None`` leaves them null.
+    ``'past_mean'`` fills with the mean of the series' earlier rows only.
     ``history`` (e.g. the training split) warm-starts the windows of ``df``
-    with the rows just before it; by default the test split starts cold, as
-    in the original study.
+    with the rows just before it, and its sums and counts per key start the
+    past means; by default the test split starts cold, as in the original study.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
@@ -188,8 +189,6 @@ def rolling_features(df: DataFrame, cols, order, keys=(), windows=ROLL_WINDOWS,
     if lag_fill not in (None, "mean", "past_mean"):
         raise ValueError(f"unknown lag_fill {lag_fill!r}")
     if history is not None:
-        if lags and lag_fill == "past_mean":
-            raise ValueError("lag_fill='past_mean' is not supported with history")
         # warm start: prepend the last ``halo`` rows of ``history`` (per key
         # when keyed), compute, then drop them again
         return _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
@@ -271,10 +270,14 @@ def _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
     else:
         tail = history.orderBy(*ordc).limit(halo)  # bounded top-k
     tail = tail.select(*df.columns).withColumn("_hist", F.lit(True))
-    both = df.withColumn("_hist", F.lit(False)).unionByName(tail)
-    out = rolling_features(both, cols, order, keys, windows, lags, lag_fill=None,
+    past = bool(lags) and lag_fill == "past_mean"
+    state = []
+    if past:
+        tail, state = _prefix_state(tail, history, cols, order, keys)
+    both = df.withColumn("_hist", F.lit(False)).unionByName(tail, allowMissingColumns=True)
+    out = rolling_features(both, cols, order, keys, windows, lags, lag_fill="past_mean" if past else None,
                            bucket_size=bucket_size, strategy=strategy, rolling=rolling)
-    out = out.where(~F.col("_hist")).drop("_hist")
+    out = out.where(~F.col("_hist")).drop("_hist", *state)
     if lags and lag_fill == "mean":
         means = [F.avg(c).alias(f"_fill_{c}") for c in cols]
         stats = df.groupBy(*keys).agg(*means) if keys else df.agg(*means)
@@ -286,19 +289,50 @@ def _with_history(df, history, cols, order, keys, halo, windows, lags, lag_fill,
     return out
 
 
+def _prefix_state(tail: DataFrame, history: DataFrame, cols, order, keys):
+    """``tail`` with the sums and counts of the whole history (per key) on the oldest tail row of
+    each key and 0 on the others, so that running sums over the tail carry them into the rows after
+    it. Both sides hold at most ``halo`` rows per key; rows of the history are only aggregated."""
+    totals = [f for c in cols for f in (F.sum(c).cast("double").alias(f"_hs_{c}"), F.count(c).alias(f"_hn_{c}"))]
+    names = [f"_h{k}_{c}" for c in cols for k in "sn"]
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(*_as_cols(order))
+    numbered = tail.withColumn("_place", F.row_number().over(w))
+    if keys:
+        sums = history.groupBy(*keys).agg(*totals)
+        same = F.lit(True)
+        for k in keys:
+            same = same & numbered[k].eqNullSafe(sums[k])
+        joined = numbered.join(sums, same, "left").select(numbered["*"], *[sums[n] for n in names])
+    else:
+        joined = numbered.crossJoin(F.broadcast(history.agg(*totals)))  # one row
+    oldest = F.col("_place") == 1
+    return joined.select(*tail.columns, *[
+        F.when(oldest, F.coalesce(F.col(n), F.lit(0))).otherwise(F.lit(0)).alias(n) for n in names]), names
+
+
 def _past_means(ofr: OrderedFrame, cols, keys) -> DataFrame:
     """``_fill_<c>``: mean of the series' values strictly before each row (no
     look-ahead). Halo plan: per (key, bucket) totals - a small aggregate -
     prefix-summed over earlier buckets of the key, plus a running sum inside
-    the bucket over the bucket's own rows only."""
+    the bucket over the bucket's own rows only. History rows (``_hist``) count
+    as the sums that ``_prefix_state`` put on them, not as their own values."""
     fr = ofr.frame
+
+    def value(c):
+        return F.when(F.col("_hist"), F.col(f"_hs_{c}")).otherwise(F.col(c)) if f"_hs_{c}" in fr.columns else F.col(c)
+
+    def number(c):
+        one = F.col(c).isNotNull().cast("long")
+        return F.when(F.col("_hist"), F.col(f"_hn_{c}")).otherwise(one) if f"_hs_{c}" in fr.columns else one
+
     before = Window.unboundedPreceding
     if ofr.strategy != "halo":
         w = ofr.window(before, -1)
-        return fr.select("*", *[F.avg(c).over(w).alias(f"_fill_{c}") for c in cols])
+        return fr.select("*", *[F.try_divide(F.sum(value(c)).over(w), F.sum(number(c)).over(w).cast("double"))
+                                .alias(f"_fill_{c}") for c in cols])
     own = F.col("_own")
     tot = fr.where(own).groupBy(*keys, "_b").agg(
-        *[F.sum(c).alias(f"_s_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols])
+        *[F.sum(value(c)).alias(f"_s_{c}") for c in cols], *[F.sum(number(c)).alias(f"_n_{c}") for c in cols])
     wpre = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_b") \
         .rowsBetween(before, -1)
     pre = tot.select(*keys, "_b",
@@ -308,8 +342,8 @@ def _past_means(ofr: OrderedFrame, cols, keys) -> DataFrame:
     w = ofr.window(before, -1)
     fills = []
     for c in cols:
-        run_s = F.coalesce(F.sum(F.when(own, F.col(c))).over(w), F.lit(0.0))
-        run_n = F.coalesce(F.count(F.when(own, F.col(c))).over(w), F.lit(0))
+        run_s = F.coalesce(F.sum(F.when(own, value(c))).over(w), F.lit(0.0))
+        run_n = F.coalesce(F.sum(F.when(own, number(c))).over(w), F.lit(0))
         fills.append(F.try_divide(F.col(f"_ps_{c}") + run_s,
                                   (F.col(f"_pc_{c}") + run_n).cast("double")).alias(f"_fill_{c}"))
     return fr.select("*", *fills)

@@ -72,3 +72,22 @@ def select_by_importance(train: DataFrame, test: DataFrame, target: str = TARGET
     tr, te = project(train, test, keep, target, carry=carry)
     spark = train.sparkSession
     return tr, te, spark.createDataFrame(ranking, "feature string, importance double")
+
+
+def select_by_splits(train: DataFrame, test: DataFrame, target: str = TARGET_COL, top_n: int = 100,
+                     exclude=(), params: dict | None = None, key: str = "row_id"):
+    """L1 with split-count importance: the regularised booster on all rows, features ranked by how many
+    nodes split on them (ties by name; unused features count 0). Ids and leakage columns are excluded
+    before ranking. Returns the projected frames and the ``(feature, importance)`` ranking."""
+    from .boosting import Booster, BoostParams, Slot, split_importance
+
+    excl = set(ID_COLS) | set(LEAKAGE_COLS) | set(exclude) | {target}
+    feats = [c for c in train.columns if c not in excl]
+    data = train.fillna(0, subset=feats).withColumn("_seg", F.lit(0))
+    fitted = Booster(data, feats, target, key, "_seg").fit(
+        [Slot(BoostParams.of(params or {"n_estimators": 300, "num_leaves": 31, "min_child_samples": 20}), 1)])
+    counted = {r["feature"]: r["importance"] for r in split_importance(fitted.node_table()).collect()}
+    ranking = sorted(((f, counted.get(f, 0.0)) for f in feats), key=lambda t: (-t[1], t[0]))
+    keep = [f for f, _ in ranking[:top_n]]
+    tr, te = project(train, test, keep, target, carry=[c for c in ID_COLS if c in train.columns])
+    return tr, te, train.sparkSession.createDataFrame(ranking, "feature string, importance double")

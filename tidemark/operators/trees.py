@@ -1,13 +1,13 @@
 """Spark ML learners under expanding-window cross-validation.
 
-The fold frame is assembled once (``VectorAssembler``) and persisted; fold
+The fold frame is assembled once (``VectorAssembler``) and checkpointed; fold
 ``f`` trains on ``seg < f`` and scores ``seg == f`` straight from that frame.
 Fold fits are independent Spark jobs submitted from a small driver thread
 pool, and the out-of-fold vector is the union of the validation scores plus
 zeros for the never-validated first segment - no join.
 
-Boosted trees stand in for LightGBM / XGBoost (not available here); scores
-are therefore not expected to equal the original study's.
+Spark's boosted trees know no leaf counts and no L1 and L2 terms; ``boosting`` fits
+those. Scores are not expected to equal the original study's.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from concurrent.futures import ThreadPoolExecutor
 from inspect import signature
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import N_SPLITS, RANDOM_STATE
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .labels import direction01, prob_to_position, prob_up_from_vector
 from .metrics import fold_metrics, fold_summary, sharpe_search_agg
 from .select import assemble
@@ -112,10 +112,8 @@ class FoldCV:
         self.threads = threads
         data = assemble(frame.fillna(0, subset=self.features), self.features,
                         keep=[key, seg, label, *self.carry])
-        self.data = data.withColumn("_label01", direction01(label)).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def close(self):
-        self.data.unpersist()
+        # written once to the checkpoint folder: every fold reads it, no executor holds it
+        self.data = cut_lineage(data.withColumn("_label01", direction01(label)))
 
     def _train_slice(self, f: int, holdout: float):
         """Rows of segments < f; with ``holdout`` > 0 the newest share of them
@@ -241,3 +239,26 @@ def feature_importance(model, names, n: int = 25):
     """V8: ``[(feature, importance)]`` top ``n`` by importance, then name."""
     imp = model.featureImportances.toArray()
     return sorted(zip(names, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))[:n]
+
+
+def tree_nodes(model, features) -> DataFrame:
+    """Every node of a fitted Spark tree model or ensemble, read from its saved data:
+    ``(tree, node, feature, gain, left, right, prediction)``, feature null at leaves."""
+    import uuid
+
+    spark = SparkSession.getActiveSession()
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    if "nodeData" in data.columns:
+        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        data = data.withColumn("tree", F.lit(0))
+    names = F.array(*[F.lit(f) for f in features])
+    inner = F.col("leftChild") >= 0
+    return data.select(
+        "tree", F.col("id").alias("node"),
+        F.when(inner, F.get(names, F.col("split.featureIndex"))).alias("feature"),
+        F.when(inner, F.col("gain")).alias("gain"),
+        F.when(inner, F.col("leftChild")).alias("left"), F.when(inner, F.col("rightChild")).alias("right"),
+        "prediction")

@@ -11,6 +11,7 @@ MODULES = (
     "q_rowfeat",
     "q_linear",
     "q_models",
+    "q_boost",
 )
 
 

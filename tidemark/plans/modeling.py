@@ -50,3 +50,12 @@ def whole_oof_board(ev: Evaluation, label: str) -> DataFrame:
     cols = [c for c in ev.blends.columns if c not in (ev.oof.columns[:3])]
     return blend.whole_oof_scores(ev.blends, label, [c for c in cols if c != label]).orderBy(
         F.col("mean_sharpe").desc())
+
+
+def stacked_test(oof: DataFrame, test: DataFrame, names, label: str) -> DataFrame:
+    """E4 for the test set: the meta ridge is fitted on the training rows' out-of-fold
+    predictions ``names`` (alpha by leave-one-out error) and applied to the same models'
+    test predictions; ``test`` gains the column ``stacked`` (a projection)."""
+    lo, hi, num = META_ALPHAS
+    _, fit, _ = linear.loo_alpha(oof, list(names), label, np.logspace(lo, hi, int(num)))
+    return test.withColumn("stacked", fit.predict_expr(list(names)))

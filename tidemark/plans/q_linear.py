@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from ..functions.common import r6
 from ..operators import linear
 from ..sources.fixtures import daily_reg
+from .modeling import stacked_test
 from .registry import register, sql_r6
 
 RIDGE_ALPHA = 100.0
@@ -121,4 +121,24 @@ def stack1_daily(spark, sf_dir):
     return t.select(*[r6(c, c) for c in ("alpha", "coef", "intercept", "loo_mse")])
 
 
-__all__ = ["F"]
+def _stack_test_sql() -> str:
+    one = _stack_sql()
+    cut = one.index("base AS")
+    fitted = one[:one.index("SELECT", one.index("best AS (SELECT * FROM loo ORDER BY mse, i LIMIT 1)") + 20)]
+    held = fitted[:cut] + fitted[cut:].replace("co.fold = s.seg)", "co.fold = s.seg WHERE s.seg < 5)", 1)
+    return held + f"""SELECT s.date_id, {sql_r6("co.b0 + co.beta * s.x", "p_ridge")},
+       {sql_r6("best.b + best.w * (co.b0 + co.beta * s.x)", "stacked")}
+FROM s JOIN co ON co.fold = 5 JOIN best ON true WHERE s.seg = 5"""
+
+
+@register("stack_test_daily", _stack_test_sql)
+def stack_test_daily(spark, sf_dir):
+    """E4 on the test set: meta ridge fitted on the out-of-fold predictions of the first five
+    segments, applied to the base model's predictions of the last one, which neither has seen."""
+    df, mom, shift = _moments(spark, sf_dir)
+    train, test = df.where("seg < 5"), df.where("seg = 5")
+    fits = linear.fold_fits(mom, RIDGE_ALPHA, shift)
+    oof = train.select("y", linear.oof_expr({f: v for f, v in fits.items() if f < 5}, ["x"]).alias("p_ridge"))
+    base = test.select("date_id", fits[5].predict_expr(["x"]).alias("p_ridge"))
+    out = stacked_test(oof, base, ["p_ridge"], "y")
+    return out.select("date_id", r6("p_ridge", "p_ridge"), r6("stacked", "stacked"))

@@ -187,3 +187,24 @@ def roll_daily_cold(spark, sf_dir):
     test = dd.where(F.col("date_id") >= _test_cut(dd))
     out = rolling_features(test, ["v"], order=["date_id"], lags=(), bucket_size=DAILY_BUCKET)
     return out.select("date_id", *[r6(c, c) for c in _roll_names("v")])
+
+
+def _past_warm_sql() -> str:
+    past = "avg(v) OVER (ORDER BY date_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    lag_cols = [sql_r6(f"coalesce(lag(u, {k}) OVER (ORDER BY date_id), {past})", f"u_lag{k}") for k in LAGS]
+    gaps = "SELECT date_id, CASE WHEN date_id % 3 = 1 THEN NULL ELSE v END AS v FROM dd0"
+    return (f"WITH dd0 AS {_daily_sql()}, g AS ({gaps})\nSELECT * FROM (SELECT date_id, "
+            f"{', '.join(c.replace('lag(u', 'lag(v') for c in lag_cols)} FROM g) t WHERE date_id >= {_cut_sql()}")
+
+
+@register("lag_past_mean_warm_daily", _past_warm_sql)
+def lag_past_mean_warm_daily(spark, sf_dir):
+    """W5 with no look-ahead across train and test: lags of the held-out block (every third
+    value missing), gaps filled with the mean of all earlier days, the history's sums carried."""
+    dd = daily(spark, sf_dir)
+    cut = _test_cut(dd)
+    dd = dd.select("date_id", F.when(F.col("date_id") % 3 != 1, F.col("v")).alias("u"))
+    out = rolling_features(dd.where(F.col("date_id") >= cut), ["u"], order=["date_id"], windows=(),
+                           lag_fill="past_mean", bucket_size=DAILY_BUCKET, rolling=False,
+                           history=dd.where(F.col("date_id") < cut))
+    return out.select("date_id", *[r6(f"u_lag{k}", f"u_lag{k}") for k in LAGS])

@@ -15,7 +15,8 @@ from ..sources.panel_io import read_table
 from .registry import register, sql_r6
 from .sql_fixtures import events_ctes, flag_cols, panel_cols, panel_cte
 
-LINE_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINE_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax")
 EVENTS_SPEC = PanelSpec(**EVENTS_SPEC_KW)
 EN_COLS = ("event_id", "user_id", "ts", "value", "low_null", "mid_null", "high_null", "flag")
 
@@ -123,15 +124,15 @@ def profile_null_total_events(spark, sf_dir):
 def _hist_sql(table: str, cols, bins: int) -> str:
     parts = []
     for c in cols:
-        parts.append(f"""SELECT '{c}' AS column_name, CAST(bin AS INTEGER) AS bin,
-  {sql_r6(f'mn + bin * ((mx - mn) / {bins}.0)', 'lo')}, {sql_r6(f'mn + (bin + 1) * ((mx - mn) / {bins}.0)', 'hi')},
-  count(*) AS n
-FROM (SELECT least(floor(({c} - mn) * {bins}.0 / (mx - mn)), {bins - 1}) AS bin, mn, mx
-      FROM {table}, (SELECT CASE WHEN min({c}) = max({c}) THEN min({c}) - 0.5 ELSE min({c}) END AS mn,
-                            CASE WHEN min({c}) = max({c}) THEN max({c}) + 0.5 ELSE max({c}) END AS mx
-                     FROM {table}) mm
-      WHERE {c} IS NOT NULL) b
-GROUP BY bin, mn, mx""")
+        x = f"CAST({c} AS DOUBLE)"
+        edges = (f"(SELECT CASE WHEN min({x}) = max({x}) THEN min({x}) - 0.5 ELSE min({x}) END AS mn, "
+                 f"CASE WHEN min({x}) = max({x}) THEN max({x}) + 0.5 ELSE max({x}) END AS mx FROM {table})")
+        parts.append(f"""SELECT '{c}' AS column_name, CAST(e.bin AS INTEGER) AS bin,
+  {sql_r6(f'mn + e.bin * ((mx - mn) / {bins}.0)', 'lo')}, {sql_r6(f'mn + (e.bin + 1) * ((mx - mn) / {bins}.0)', 'hi')},
+  coalesce(n, 0) AS n
+FROM (SELECT bin, mn, mx FROM {edges} mm, range({bins}) t(bin)) e
+LEFT JOIN (SELECT least(floor(({x} - mn) * {bins}.0 / (mx - mn)), {bins - 1}) AS bin, count(*) AS n
+           FROM {table}, {edges} mm WHERE {c} IS NOT NULL GROUP BY 1) b ON b.bin = e.bin""")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -200,12 +201,32 @@ def corr_matrix_lineitem(spark, sf_dir):
 
 @register("corr_gramian_lineitem", _corr_sql)
 def corr_gramian_lineitem(spark, sf_dir):
-    """V4 via G1: all pairwise correlations from one moment pass (the route
-    for wide, null-free feature sets)."""
+    """V4 via moment matrices: all pairwise correlations from one pass (the route
+    for wide feature sets)."""
     cp = charts.corr_pairs(read_table(spark, sf_dir, "lineitem"), LINE_NUM, method="gramian")
     return cp.select("column_a", "column_b", r6("corr", "corr"))
 
 
+def _corr_nulls_sql() -> str:
+    unp = ", ".join(panel_cols())
+    return f"""WITH {panel_cte()},
+lng AS (SELECT row_id, column_name, x FROM (UNPIVOT (SELECT row_id, {unp} FROM panel)
+        ON {unp} INTO NAME column_name VALUE x)),
+ord AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {i})" for i, c in enumerate(panel_cols()))}) t(column_name, i))
+SELECT a.column_name AS column_a, b.column_name AS column_b, {sql_r6('corr(a.x, b.x)', 'corr')}
+FROM lng a JOIN lng b ON a.row_id = b.row_id JOIN ord oa ON oa.column_name = a.column_name
+JOIN ord ob ON ob.column_name = b.column_name WHERE oa.i < ob.i
+GROUP BY a.column_name, b.column_name"""
+
+
+@register("corr_gramian_panel", _corr_nulls_sql)
+def corr_gramian_panel(spark, sf_dir):
+    """V4 over all family columns of the panel, which hold nulls: every pair over the rows where
+    both are present, from one pass of masked moment matrices."""
+    cp = charts.corr_pairs(panel(spark, sf_dir), panel_cols(), method="gramian")
+    return cp.select("column_a", "column_b", r6("corr", "corr"))
+
+
 def _tc_cte() -> str:
     tc = " UNION ALL ".join(f"SELECT '{c}' AS column_name, corr({c}, target) AS corr FROM panel"
                             for c in panel_cols())

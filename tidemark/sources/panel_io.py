@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 _FLOATS = (T.DoubleType, T.FloatType)
 
 
@@ -53,6 +55,31 @@ def read_panel(spark: SparkSession, path: str, fmt: str | None = None,
     return nan_to_null(df)
 
 
+def read_checked(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ","):
+    """S1 with damaged rows kept apart: ``(panel, rejected, report)`` of a CSV with a header.
+
+    A row that does not fit ``schema`` (too many or few fields, a value that is no number) is not
+    read as nulls: ``rejected`` holds its text and file, ``panel`` the other rows, and ``report`` counts
+    rows, accepted and rejected rows of each file, so that none is lost silently."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    bad = "_corrupt_record"
+    # sensitive to the header: a file with other columns fails instead of shifting values
+    raw = (spark.read.option("header", True).option("nanValue", "NaN").option("mode", "PERMISSIVE")
+           .option("enforceSchema", False).option("columnNameOfCorruptRecord", bad).option("sep", sep)
+           .schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())])).csv(path))
+    # Spark skips parsing of columns that a query does not use, and with it the check: read all of them
+    raw = raw.select(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]).alias("row"), F.col(bad).alias("text"),
+                     F.col("_metadata.file_path").alias("file")).withColumn(
+        "ok", F.col("text").isNull() & (F.hash("row").isNotNull()))
+    raw = cut_lineage(raw)
+    panel = nan_to_null(raw.where("ok").select("row.*"))
+    rejected = raw.where("not ok").select("file", "text")
+    report = raw.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("ok").alias("accepted"),
+                                     F.count_if(~F.col("ok")).alias("rejected"))
+    return panel, rejected, report
+
+
 def load_split(spark: SparkSession, train_path: str, test_path: str, fmt: str | None = None):
     """S1 for a train/test pair; returns ``(train, test, alignment_report)``."""
     train = read_panel(spark, train_path, fmt)
@@ -74,9 +101,11 @@ def alignment_report(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by=None) -> str:
-    """Write a stage table (Parquet by default, CSV with header)."""
-    w = df.write.mode(mode)
+                partition_by=None, keep_others: bool = False) -> str:
+    """Write a stage table (Parquet by default, CSV with header).
+
+    With ``keep_others`` an overwrite replaces only the partitions that ``df`` holds."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if keep_others else "static")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if fmt == "csv":
@@ -89,13 +118,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_predictions(preds: DataFrame, path: str, key: str = "row_id",
                       pred_col: str = "prediction", model_col: str | None = "model",
                       out_name: str = "market_forward_excess_returns") -> str:
-    """``(key, prediction)`` per model, partitioned by model name."""
+    """``(key, prediction)`` per model, partitioned by model name; the files of models
+    that ``preds`` does not hold stay."""
     cols = [F.col(key), F.col(pred_col).alias(out_name)]
     part = None
     if model_col and model_col in preds.columns:
         cols.append(F.col(model_col))
         part = model_col
-    return write_table(preds.select(*cols), path, partition_by=part)
+    return write_table(preds.select(*cols), path, partition_by=part, keep_others=part is not None)
 
 
 def save_model(model, path: str) -> str:
