@@ -1,6 +1,7 @@
 """Brute-force versions and edge rows of the llm operators."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -102,6 +103,72 @@ def test_neardup_components(docs, edge):
     assert kept == {1: True, 2: True, 3: True, 4: False, 5: True, 6: True}
 
 
+def brute_components(rows, words, num, den):
+    sets = {}
+    for i, text in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    comp = {i: i for i in sets}
+
+    def find(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    ids = sorted(i for i in sets if sets[i])
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            x, y = sets[a], sets[b]
+            if den * min(len(x), len(y)) >= num * max(len(x), len(y)) and find(a) != find(b):
+                if den * len(x & y) >= num * len(x | y):
+                    lo, hi = sorted((find(a), find(b)))
+                    comp[hi] = lo
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_neardup_large_families(spark, monkeypatch):
+    """Edited copies at every distance, cut copies, chains and exact copies, in small blocks and stars."""
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(400)]
+    rows = []
+
+    def edited(w, k):
+        w = list(w)
+        for _ in range(k):
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+        return w
+
+    for f in range(4):
+        base = [rng.choice(vocab) for _ in range(90)]
+        rows += [(None, " ".join(edited(base, rng.randrange(0, 9)))) for _ in range(70)]
+        rows += [(None, " ".join(base[:rng.randrange(60, 91)])) for _ in range(30)]
+        chain = base
+        for _ in range(25):
+            chain = edited(chain, 2)
+            rows.append((None, " ".join(chain)))
+        rows += [(None, " ".join(base))] * 5
+    rng.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    want = brute_components(rows, 3, 85, 100)
+    df = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, label string, id int")
+    monkeypatch.setattr(neardup, "STAR", 20)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.groups(df, 3, 85, 100).collect()}
+    assert got == want
+
+
+def test_neardup_odd_rows(spark):
+    a = " ".join(f"t{i}" for i in range(60))
+    rows = [(1, a), (1, a + " more"), (1, None), (2, a), (3, a + " end"), (None, "q r s"), (4, ""), (5, None), (6, "one"), (7, "One")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, keys int")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.groups(df, 3, 85, 100).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6, 7, None}
+    assert got[6] == (1, 6, True) and got[7] == (1, 6, False)
+    assert got[4] == (0, 4, True) and got[5] == (0, 5, True)
+    assert got[3][1] == got[2][1]
+    assert neardup.groups(df.limit(0), 3, 85, 100).collect() == []
+
+
 def test_ann_is_exact(spark):
     emb = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = emb.collect()

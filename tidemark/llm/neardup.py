@@ -2,55 +2,113 @@
 
 ``m`` left and ``m`` right collections of ``r`` minhashes are combined in
 pairs into m*m table keys, so 2*m*r minhashes serve m*m tables. Equal shingle
-sets are one class; candidates that share a table key form candidate
-components, in which links are confirmed on the full sets.
+sets are one class with one representative; only keys that two representatives share
+make table rows.
+
+Links are confirmed on full sets, in tasks of bounded groups:
+
+1. Stars. The member of a table whose keys are shared most is its centre (of a family
+   of edited copies that is the least edited one). Each (centre, member) is compared
+   once; a centre's members are salted over tasks of about ``STAR`` texts.
+2. Components over the confirmed links.
+3. Rest. A member of a star that is not in its centre's component may still link with another
+   member. It is asked once, in the star of the nearest such centre. Such members lie in blocks of about ``BLOCK`` by the share of their
+   shingles that the centre lacks; a star member goes to the blocks of shares it can link
+   to: with similarity t, f_x <= f_u / t + 1 - t and the reverse, f the share outside the
+   centre. Pairs whose counts inside and outside the centre cannot reach the overlap
+   are passed over, the others are compared on full sets.
+
 Null or wordless texts have no shingles and stay alone; rows of one doc_id
-are one document (the smallest text counts); an empty table gives no rows.
+are one document (the row with the smallest set fingerprint counts); an empty table
+gives no rows; a null doc_id is a document of its own value; columns other than doc_id
+and text are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+import uuid
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, ensure_checkpoint_dir
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+STAR = 1000
+BLOCK = 128
+BANDS = 32
+NEAR = 0.5
+
+
+def spilled(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+class Shingler:
+    """Sorted distinct 64-bit shingle hashes; word hashes are remembered, at most ``keep`` of them."""
+
+    def __init__(self, words: int, keep: int = 200_000):
+        self.words, self.keep, self.known = words, keep, {}
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        w = WORD.findall((text or "").translate(UPPER))
+        if not w:
+            return np.empty(0, np.uint64)
+        known = self.known
+        if len(known) > self.keep:
+            known.clear()
+        for x in set(w).difference(known):
+            known[x] = xxhash.xxh3_64_intdigest(x)
+        h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
+        k = min(self.words, len(w))
+        n = len(w) - k + 1
+        out = np.full(n, k, np.uint64)
+        for i in range(k):
+            out = (out ^ h[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return np.unique(out)
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes."""
-    w = WORD.findall((text or "").translate(UPPER))
-    n = max(1, len(w) - words + 1) if w else 0
-    return np.unique(np.array([xxhash.xxh3_64_intdigest(" ".join(w[i:i + words])) for i in range(n)],
-                              np.uint64))
+    return Shingler(words)(text)
 
 
 def signatures(docs: DataFrame, words: int, m: int, r: int) -> DataFrame:
+    """doc_id, n_shingles, fp (fingerprint of the set), keys (one per collection)."""
     rng = np.random.default_rng(7)
     mult = rng.integers(1, 1 << 63, 2 * m * r, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                s = shingles(text, words)
-                keys = []
-                if len(s):
-                    mins = np.array([((s * a) ^ ((s * a) >> np.uint64(31))).min() for a in mult])
-                    keys = [xxhash.xxh64_intdigest(mins[i * r:i * r + r].tobytes(), i) - (1 << 63)
-                            for i in range(2 * m)]
-                rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), s.tobytes(), keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "s", "keys"])
-
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_shingles long, fp binary, s binary, keys array<long>")
+        shingle = Shingler(words)
+        for batch in batches:
+            size, fps, keys = [], [], []
+            for raw in batch.column(1).to_pylist():
+                s = shingle((raw or b"").decode("utf-8", "replace"))
+                size.append(len(s))
+                fps.append(xxhash.xxh3_128_digest(s.tobytes()))
+                if not len(s):
+                    keys.append([])
+                    continue
+                mins = np.empty(len(mult), np.uint64)
+                for i, a in enumerate(mult):
+                    p = s * a
+                    mins[i] = (p ^ (p >> np.uint64(31))).min()
+                keys.append([xxhash.xxh64_intdigest(mins[i * r:i * r + r].tobytes(), i) - (1 << 63)
+                             for i in range(2 * m)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(fps, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "fp", "keys"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, "doc_id long, n_shingles long, fp binary, keys array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -69,55 +127,163 @@ def components(edges: DataFrame) -> DataFrame:
         lab = new.select("id", "label")
 
 
-def confirm(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Union of confirmed links within one candidate component."""
-    pdf = pdf.sort_values("id")
-    sets = [np.frombuffer(b, np.uint64) for b in pdf["s"]]
-    parent = list(range(len(sets)))
+def star_pairs(reps: DataFrame, m: int) -> DataFrame:
+    """Distinct (a, id): each table's member and its centre."""
+    keyed = reps.select("id", F.posexplode("keys").alias("pos", "key"))
+    shared = keyed.groupBy("pos", "key").agg(F.count("*").alias("n")).where("n > 1")
+    hit = keyed.join(shared, ["pos", "key"]).groupBy("id").agg(
+        F.collect_list(F.struct("pos", "key")).alias("h"), F.sum("n").alias("pop"))
+    left, right = F.filter("h", lambda x: x.pos < m), F.filter("h", lambda x: x.pos >= m)
+    table = hit.select("id", "pop", F.explode(F.flatten(F.transform(left, lambda a: F.transform(
+        right, lambda b: F.xxhash64(a.pos, a.key, b.pos, b.key))))).alias("t"))
+    star = table.groupBy("t").agg(F.max(F.struct("pop", (-F.col("id")).alias("neg"))).alias("c"),
+                                  F.count("*").alias("n")).where("n > 1")
+    return table.select("id", "t").join(star, "t").select((-F.col("c.neg")).alias("a"), "id").where(
+        "id <> a").distinct()
+
+
+def compared(rows: DataFrame, words: int) -> DataFrame:
+    """(a, id, n_a, n, both) for ``rows`` (a, salt, id, text, first), sorted so that each (a, salt)
+    begins with its centre's text."""
+
+    def run(batches):
+        shingle = Shingler(words)
+        at, centre = None, None
+        for batch in batches:
+            out = []
+            cols = [batch.column(c).to_pylist() for c in ("a", "salt", "id", "first", "text")]
+            for a, salt, i, first, text in zip(*cols):
+                s = shingle(text)
+                if first:
+                    at, centre = (a, salt), s
+                elif at == (a, salt):
+                    out.append((a, i, len(centre), len(s), len(np.intersect1d(centre, s, assume_unique=True))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[j] for o in out], pa.int64()) for j in range(5)], names=["a", "id", "n_a", "n", "both"])
 
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.desc("first"))
+    return dealt.select("a", "salt", "id", "first", "text").mapInArrow(
+        run, "a long, id long, n_a long, n long, both long")
 
-    where = defaultdict(list)
-    for i, s in enumerate(sets):
-        hits = Counter(j for x in s.tolist() for j in where.get(x, ()))
-        for j, both in hits.items():
-            if find(i) != find(j) and den * both >= num * (len(s) + len(sets[j]) - both):
-                a, b = sorted((find(i), find(j)))
-                parent[b] = a
-        for x in s.tolist():
-            where[x].append(i)
-    ids = pdf["id"].to_numpy()
-    return pd.DataFrame({"id": ids, "label": [ids[find(i)] for i in range(len(ids))]})
+
+def compare_stars(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("salts"))
+    members = pairs.join(texts, "id").join(salts, "a").select(
+        "a", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id", "text", F.lit(False).alias("first"))
+    centres = salts.withColumnRenamed("a", "id").join(texts, "id").select(
+        F.col("id").alias("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
+        "id", "text", F.lit(True).alias("first"))
+    return compared(members.unionByName(centres), words)
+
+
+def compared_blocks(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) between the block members (``first``) and the star members dealt to each block
+    of ``rows`` (a, band, part, id, text, first, n, both, label)."""
+
+    def run(batches):
+        shingle = Shingler(words)
+        at, block = None, None
+        for batch in batches:
+            out = []
+            cols = [batch.column(c).to_pylist() for c in ("a", "band", "part", "id", "first", "text", "n", "both", "label")]
+            for a, band, part, i, first, text, n, both, label in zip(*cols):
+                if at != (a, band, part):
+                    at, block, index = (a, band, part), [], None
+                if first:
+                    block.append((i, n, both, label, shingle(text)))
+                    continue
+                if not block:
+                    continue
+                if index is None:
+                    ids, ns, ins, labels = (np.array([b[j] for b in block]) for j in range(4))
+                    owner = np.repeat(np.arange(len(block)), ns)
+                    tokens = np.concatenate([b[4] for b in block])
+                    order = np.argsort(tokens, kind="stable")
+                    index = tokens[order], owner[order]
+                need = -(-num * (ns + n) // (num + den))
+                open_ = (np.minimum(ins, both) + np.minimum(ns - ins, n - both) >= need) & (labels != label) & (ids != i)
+                if not open_.any():
+                    continue
+                s = shingle(text)
+                low, high = np.searchsorted(index[0], s, "left"), np.searchsorted(index[0], s, "right")
+                size = high - low
+                flat = np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
+                met = np.bincount(index[1][flat], minlength=len(block))
+                for j in np.flatnonzero(open_ & (den * met >= num * (ns + n - met))):
+                    out.append((int(ids[j]), i))
+            yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(2)],
+                                             names=["a", "b"])
+
+    dealt = rows.repartition("a", "band", "part").sortWithinPartitions("a", "band", "part", F.desc("first"))
+    return dealt.select("a", "band", "part", "id", "first", "text", "n", "both", "label").mapInArrow(
+        run, "a long, b long")
+
+
+def rest_links(stars: DataFrame, labels: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links across components within a star: a member is asked in the star of the nearest centre
+    (similarity NEAR or more) that lies in another component than its own."""
+    t = num / den
+    lab = labels.withColumnRenamed("id", "a").withColumnRenamed("label", "centre_label")
+    one = stars.join(labels, "id", "left").join(lab, "a", "left").select(
+        "a", "id", "n", "both", F.coalesce("label", "id").alias("label"), F.coalesce("centre_label", "a").alias("of"),
+        (F.col("both") / (F.col("n") + F.col("n_a") - F.col("both"))).alias("j"))
+    one = spilled(one.withColumn("f", F.lit(1.0) - F.col("both") / F.col("n")), "stars")
+    size = one.groupBy("a").agg(F.count("*").alias("members"))
+    foreign = one.where((F.col("label") != F.col("of")) & (F.col("j") >= NEAR))
+    home = foreign.groupBy("id").agg(F.max_by("a", F.struct("j", (-F.col("a")).alias("neg"))).alias("a"))
+    loose = foreign.join(home, ["a", "id"]).join(size.where("members > 1"), "a").withColumn(
+        "band", F.floor(F.col("f") * BANDS).cast("int"))
+    blocks = loose.groupBy("a", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    firsts = loose.join(blocks, ["a", "band"]).select(
+        "a", "band", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "n", "both", "label",
+        F.lit(True).alias("first"))
+    # bands whose shares f_u the star member's share f_x allows
+    reach = (F.col("f") / t + (1 - t) + 1e-9) * BANDS
+    least = F.ceil((F.col("f") - (1 - t)) * t * BANDS - 1 - 1e-9)
+    other = one.join(blocks, "a").where(
+        (F.col("band") <= reach) & (F.col("band") >= least)).select(
+        "a", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "n", "both", "label",
+        F.lit(False).alias("first"))
+    return compared_blocks(firsts.unionByName(other).join(texts, "id"), words, num, den)
+
+
+def wanted_texts(docs: DataFrame, asked: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """(id, text) of the ids in ``asked``. Of the rows of one id a text whose shingle set is
+    the representative's; texts of one set compare alike."""
+
+    def run(batches):
+        shingle = Shingler(words)
+        for batch in batches:
+            fps = [xxhash.xxh3_128_digest(shingle(x).tobytes()) for x in batch.column("text").to_pylist()]
+            keep = pa.array([f == g for f, g in zip(fps, batch.column("fp").to_pylist())], pa.bool_())
+            yield batch.select(["id", "text"]).filter(keep)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    twice = rows.groupBy("id").agg((F.count("*") > 1).alias("twice")).where("twice")
+    found = spilled(rows.join(asked.join(twice, "id", "left"), "id"), "texts")
+    several = found.where("twice").join(reps.select("id", "fp"), "id").select("id", "text", "fp")
+    picked = several.mapInArrow(run, "id long, text string").groupBy("id").agg(F.min("text").alias("text"))
+    return found.where("twice is null").select("id", "text").unionByName(picked)
 
 
 def groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
            m: int = 11, r: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    one = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    sig = cut_lineage(signatures(one, words, m, r))
-    cls = sig.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("id"))
-    reps = sig.join(cls, (sig.doc_id == cls.id) & (sig.fp == cls.fp)).select("id", "s", "keys")
-    small = reps.select("id", F.posexplode("keys").alias("pos", "key"))
-    shared = small.groupBy("pos", "key").agg(F.count("*").alias("n")).where("n > 1")
-    hit = small.join(shared, ["pos", "key"]).groupBy("id").agg(F.collect_list(F.struct("pos", "key")).alias("h"))
-    left, right = F.filter("h", lambda x: x.pos < m), F.filter("h", lambda x: x.pos >= m)
-    table = hit.select("id", F.explode(F.flatten(F.transform(left, lambda a: F.transform(
-        right, lambda b: F.xxhash64(a.pos, a.key, b.pos, b.key))))).alias("t"))
-    star = table.groupBy("t").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    # an id keeps a link to its smallest centre m, and m takes its links to the other
-    # centres (at most m * m): the components stay, a large group needs few links
-    tops = table.join(star, "t").where("id <> a").groupBy("id").agg(F.collect_set("a").alias("c"))
-    low = F.array_min("c")
-    pairs = F.concat(F.array(F.struct(low.alias("a"), F.col("id").alias("b"))),
-                     F.transform("c", lambda a: F.struct(a.alias("a"), low.alias("b"))))
-    edges = tops.select(F.inline(pairs)).where("a <> b").distinct()
-    cand = components(edges)
-    linked = cand.join(reps.select("id", "s"), "id").groupBy(F.col("label").alias("c")).applyInPandas(
-        lambda pdf: confirm(pdf, num, den), "id long, label long")
-    return (sig.select("doc_id", "n_shingles", "fp").join(cls, "fp", "left").join(linked, "id", "left")
+    sig = signatures(docs, words, m, r).groupBy("doc_id").agg(
+        F.min(F.struct("fp", "n_shingles", "keys")).alias("s")).select("doc_id", "s.*")
+    sig = spilled(sig, "signatures")
+    reps = sig.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))
+    reps = spilled(reps, "representatives")
+    pairs = spilled(star_pairs(reps.where("id is not null"), m), "pairs")
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("id")).distinct()
+    texts = wanted_texts(docs, asked, reps, words)
+    stars = spilled(compare_stars(pairs, texts, words), "compared")
+    links = stars.where(den * F.col("both") >= num * (F.col("n") + F.col("n_a") - F.col("both"))).select(
+        "a", F.col("id").alias("b"))
+    more = spilled(rest_links(stars, components(links), texts, words, num, den), "rest")
+    linked = components(links.unionByName(more))
+    cls = reps.select("fp", "id")
+    return (sig.where("n_shingles > 0").join(cls, "fp", "left").join(linked, "id", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "id", "doc_id").alias("component_id"))
+            .unionByName(sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
