@@ -4,7 +4,8 @@ Vectors are dealt to query blocks and candidate blocks; each tile forms int8
 products, whose quantisation error bounds rule pairs out, and recomputes the
 rest in double precision. Heaps merge a tile's answers, a ranked window the
 tiles'. Null, zero and non-finite vectors take no part; ties go to the
-smaller vec_id; an empty table gives no rows.
+smaller vec_id; an empty table gives no rows. Rows of one vec_id are one vector, the
+least in component order.
 """
 
 from __future__ import annotations
@@ -17,31 +18,55 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def _int8(x):
-    s = np.abs(x).max(axis=1, keepdims=True) / 127
-    q = np.rint(x / s)
+    s = np.maximum(np.abs(x).max(axis=1, keepdims=True) / 127, np.finfo(np.float64).tiny)
+    q = np.clip(np.rint(x / s), -127, 127)
     return q.astype(np.int8), s[:, 0], np.linalg.norm(x - q * s, axis=1)
 
 
+def _products(a, b):
+    """Exact inner products of int8 rows: a float32 product holds them up to 2 ** 24."""
+    kind = np.float32 if a.shape[1] * 127 * 127 < 1 << 24 else np.float64
+    return (a.astype(kind) @ b.astype(kind).T).astype(np.float64)
+
+
+def distances(c, q):
+    """Euclidean distances of rows ``c`` to ``q``; scaled where the squares leave the range of doubles."""
+    diff = c - q
+    d2 = (diff ** 2).sum(axis=1)
+    d = np.sqrt(d2)
+    odd = ~np.isfinite(d2) | (d2 < 1e-280)
+    if odd.any():
+        top = np.abs(diff[odd]).max(axis=1)
+        with np.errstate(invalid="ignore"):
+            part = diff[odd] / np.where(top > 0, top, 1.0)[:, None]
+            d[odd] = np.where(np.isfinite(top), top * np.sqrt((part ** 2).sum(axis=1)), np.inf)
+    return d
+
+
 def tile(qs: pd.DataFrame, cs: pd.DataFrame, k: int) -> pd.DataFrame:
     rows = []
     if len(qs) and len(cs):
         q, c = (np.array(p["v"].tolist(), np.float64) for p in (qs, cs))
-        q8, qa, qe = _int8(q)
-        c8, ca, ce = _int8(c)
-        dot = (q8.astype(np.float64) @ c8.T.astype(np.float64)) * qa[:, None] * ca
-        qn, cn = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
-        err = qn[:, None] * ce + (cn + ce) * qe[:, None]
-        mid = qn[:, None] ** 2 + cn ** 2 - 2 * dot
-        slack = 2 * err + 1e-9 * (1 + qn[:, None] ** 2 + cn ** 2)
-        ids = cs["id"].to_numpy()
-        for i, qid in enumerate(qs["id"]):
-            other = ids != qid
-            hi = np.sort((mid[i] + slack[i])[other])
-            if not len(hi):
-                continue
-            keep = np.flatnonzero(other & (mid[i] - slack[i] <= hi[min(k, len(hi)) - 1]))
-            d = np.sqrt(((c[keep] - q[i]) ** 2).sum(axis=1))
-            rows += [(qid, v, s) for s, v in heapq.nsmallest(k, zip(d, ids[keep]))]
+        with np.errstate(all="ignore"):
+            q8, qa, qe = _int8(q)
+            c8, ca, ce = _int8(c)
+            dot = _products(q8, c8) * qa[:, None] * ca
+            qn, cn = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
+            err = qn[:, None] * ce + (cn + ce) * qe[:, None]
+            mid = qn[:, None] ** 2 + cn ** 2 - 2 * dot
+            slack = 2 * err + 1e-9 * (1 + qn[:, None] ** 2 + cn ** 2)
+            least, most = mid - slack, mid + slack
+            # no bound where a square overflows: such pairs are always recomputed
+            odd = ~np.isfinite(least) | ~np.isfinite(most)
+            least[odd], most[odd] = -np.inf, np.inf
+            ids = cs["id"].to_numpy()
+            for i, qid in enumerate(qs["id"]):
+                other = ids != qid
+                hi = np.sort(most[i][other])
+                if not len(hi):
+                    continue
+                keep = np.flatnonzero(other & (least[i] <= hi[min(k, len(hi)) - 1]))
+                rows += [(qid, v, s) for s, v in heapq.nsmallest(k, zip(distances(c[keep], q[i]), ids[keep]))]
     return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
 
@@ -52,7 +77,7 @@ def search(vectors: DataFrame, every: int, k: int = 10,
     ok = vectors.select(F.col("vec_id").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        & F.exists("v", lambda x: x != 0)).withColumn("d", F.size("v"))
+        & F.exists("v", lambda x: x != 0)).groupBy("id").agg(F.min("v").alias("v")).withColumn("d", F.size("v"))
     size = ok.agg(F.count("*"), F.count(F.when(F.col("id") % every == 0, 1))).first()
     nb, qb = -(-max(size[0], 1) // block), -(-max(size[1], 1) // query_block)
     deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
