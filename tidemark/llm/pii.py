@@ -48,17 +48,50 @@ def valid(kind: str, s):
     return F.lit(True)
 
 
+CHUNK = 256
+
+
+def _once(value, f):
+    """f(value), with ``value`` evaluated once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _chunks(a, item):
+    """item(slice) of every CHUNK elements of an array; none of an empty one."""
+    return F.when(F.size(a) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / CHUNK).cast("int")),
+        lambda c: item(F.slice(a, c * CHUNK + 1, F.lit(CHUNK))))).otherwise(F.array())
+
+
+def _total(a):
+    return F.aggregate(a, F.lit(0), lambda x, y: x + y)
+
+
 def matches(text, kind: str, pattern: str):
-    """array<struct<s, order, kind, e, ok, txt>> of all candidates."""
-    order = [k for k, _ in (*PATTERNS, LOOSE)].index(kind)
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda x, y: x + F.length(y))
+    """array<struct<s, order, kind, e, ok, txt, before, after>> of all candidates, in order.
 
-    def one(m, i):
-        start = total(pieces, i + 1) + total(found, i)
+    The regular expression runs twice on a text, whatever it finds. Starts are sums of the lengths
+    before, taken over sums of CHUNK lengths each; neighbours come from the text between matches."""
+    order = [k for k, _ in (*PATTERNS, LOOSE)].index(kind)
+    both = F.struct(F.split(text, pattern, -1).alias("pieces"),
+                    F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+
+    def placed(x):
+        sizes = F.zip_with(F.slice(x.pieces, F.lit(1), F.size(x.found)), x.found, lambda p, m: F.length(p) + F.length(m))
+        held = F.struct(x.pieces.alias("pieces"), x.found.alias("found"), sizes.alias("sizes"),
+                        _chunks(sizes, _total).cast("array<int>").alias("sums"))
+        return _once(held, lambda h: F.transform(h.found, lambda m, i: one(h, m, i)))
+
+    def one(h, m, i):
+        c = F.floor(i / CHUNK).cast("int")
+        left, right = F.get(h.pieces, i), F.get(h.pieces, i + 1)
+        start = _total(F.slice(h.sums, F.lit(1), c)) + _total(F.slice(h.sizes, c * CHUNK + 1, i - c * CHUNK)) + F.length(left)
         return F.struct(start.alias("s"), F.lit(order).alias("order"), F.lit(kind).alias("kind"),
-                        (start + F.length(m)).alias("e"), valid(kind, m).alias("ok"), m.alias("txt"))
-    return F.transform(found, one)
+                        (start + F.length(m)).alias("e"), valid(kind, m).alias("ok"), m.alias("txt"),
+                        F.when(left == "", 3).otherwise(around(F.right(left, F.lit(1)))).alias("before"),
+                        around(F.left(right, F.lit(1))).alias("after"))
+
+    return _once(both, placed)
 
 
 def around(c):
@@ -75,17 +108,27 @@ def shape(m):
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, base (valid spans), loose (cells of features of the loose candidates)."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("t"), F.array_sort(F.concat(*[
-        matches(text, k, p) for k, p in PATTERNS])).alias("base"), matches(text, *LOOSE).alias("loose"))
+    valid_ones = F.array_sort(F.concat(*[F.filter(matches(text, k, p), lambda x: x.ok) for k, p in PATTERNS]))
+
+    def marked(h):
+        # base spans by CHUNK with the range that each chunk covers: a candidate looks into few chunks
+        chunks = _chunks(h.base, lambda some: F.struct(
+            F.array_min(F.transform(some, lambda b: b.s)).alias("s"), F.array_max(F.transform(some, lambda b: b.e)).alias("e"),
+            some.alias("some")))
+
+        def cell(c, x):
+            meets = lambda b: (b.s < x.e) & (x.s < b.e)
+            return F.struct(x.s.alias("s"), x.e.alias("e"), *shape(x.txt), x.before.alias("before"), x.after.alias("after"),
+                            F.exists(c, lambda k: meets(k) & F.exists(k.some, meets)).alias("hit"))
 
-    def cell(x):
-        return F.struct(x.s.alias("s"), x.e.alias("e"), *shape(x.txt),
-                        F.when(x.s > 0, around(F.substring(F.col("t"), x.s, F.lit(1)))).otherwise(3).alias("before"),
-                        around(F.substring(F.col("t"), x.e + 1, F.lit(1))).alias("after"),
-                        F.exists(F.filter("base", lambda b: b.ok), lambda b: (b.s < x.e) & (x.s < b.e)).alias("hit"))
+        return F.when(F.size(h.base) > 0, _once(chunks, lambda c: F.transform(h.loose, lambda x: cell(c, x)))).otherwise(
+            F.transform(h.loose, lambda x: F.struct(
+                x.s.alias("s"), x.e.alias("e"), *shape(x.txt), x.before.alias("before"), x.after.alias("after"),
+                F.lit(False).alias("hit"))))
 
-    return rows.select("doc_id", F.filter("base", lambda x: x.ok).alias("base"),
-                       F.transform("loose", cell).alias("loose"))
+    held = F.struct(valid_ones.alias("base"), matches(text, *LOOSE).alias("loose"))
+    return docs.select("doc_id", _once(held, lambda h: F.struct(h.base.alias("base"), marked(h).alias("loose"))).alias("h")).select(
+        "doc_id", "h.base", "h.loose")
 
 
 def choose(rows: DataFrame, precision: float = 0.9) -> list[tuple]:
@@ -111,15 +154,10 @@ def named(chosen: list[tuple]):
     return F.array(*[F.lit("-".join(map(str, c))) for c in chosen])
 
 
-def _with(value, f):
-    """f(value), with ``value`` evaluated once however often f uses it."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def _replaced(text, pattern: str, put):
     """``text`` with each match m between the pieces i and i + 1 as put(pieces, m, i)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return _with(F.split(text, pattern, -1), lambda pieces: F.array_join(F.zip_with(
+    return _once(F.split(text, pattern, -1), lambda pieces: F.array_join(F.zip_with(
         pieces, F.transform(found, lambda m, i: put(pieces, m, i)),
         lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), ""))
 
@@ -129,7 +167,7 @@ def redact(text, chosen: list[tuple] = ()):
     loose candidates of ``chosen`` cells by <NUMBER>."""
     for kind, pattern in PATTERNS:
         put = lambda pieces, m, i, kind=kind: F.when(valid(kind, m), f"<{kind.upper()}>").otherwise(m)
-        text = _with(text, lambda t: _replaced(t, pattern, put))  # noqa: B023
+        text = _once(text, lambda t: _replaced(t, pattern, put))  # noqa: B023
     if not chosen:
         return text
     kind, pattern = LOOSE
@@ -140,7 +178,7 @@ def redact(text, chosen: list[tuple] = ()):
         name = F.concat_ws("-", *shape(m), before, around(F.left(right, F.lit(1))))
         return F.when(F.array_contains(named(chosen), name), f"<{kind.upper()}>").otherwise(m)
 
-    return _with(text, lambda t: _replaced(t, pattern, mask))
+    return _once(text, lambda t: _replaced(t, pattern, mask))
 
 
 def scan(docs: DataFrame, precision: float = 0.9) -> DataFrame:
