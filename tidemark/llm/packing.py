@@ -4,7 +4,8 @@ Texts are cut into sequences of at most ``context`` tokens (words or single
 marks). Dynamic programming over the global histogram, which has at most
 ``context`` entries, picks the boundaries with least padding; batches within
 the token budget form in each (bucket, shard). Null and empty texts have no
-sequence; extra columns are ignored; an empty table gives no rows.
+sequence; extra columns are ignored; an empty table gives no rows. Repeated rows of one
+doc_id are packed each.
 """
 
 from __future__ import annotations
@@ -35,11 +36,30 @@ def boundaries(lengths, counts, buckets: int) -> list[int]:
     return sorted(out)
 
 
+TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+
+
+def sequence_texts(docs: DataFrame, context: int = 2048) -> DataFrame:
+    """doc_id, seq, start, n_tokens, text: each sequence's own part of the text, blanks before its tokens
+    included, so that the parts of a text joined give the text up to its last token."""
+    tokens = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(rf"\s*(?:{TOKEN})"), F.lit(0))
+
+    def part(t, q):
+        here = F.slice(t, q * context + 1, F.lit(context))
+        return F.struct(q.alias("seq"), (q * context).alias("start"), F.size(here).alias("n_tokens"),
+                        F.array_join(here, "").alias("text"))
+
+    # the tokens stand in an array of one, so that they are found once for all parts
+    parts = F.flatten(F.transform(F.array(tokens), lambda t: F.when(F.size(t) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(t) - 1) / context).cast("int")), lambda q: part(t, q)))))
+    return docs.select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.*")
+
+
 def pack(docs: DataFrame, context: int = 2048, buckets: int = 8, budget: int = 16384,
-         shard_rows: int = 25_000) -> DataFrame:
-    """One row per sequence: doc_id, seq, start, n_tokens, boundary, shard, batch.
+         shard_rows: int = 25_000, texts: bool = False) -> DataFrame:
+    """One row per sequence: doc_id, seq, start, n_tokens, boundary, shard, batch, with ``texts`` also its text.
     A shard of about ``shard_rows`` sequences ends each bucket with one part-filled batch."""
-    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"))
+    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TOKEN))
     seqs = docs.select("doc_id", n.alias("n")).where("n > 0").select(
         "doc_id", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / context).cast("int"))).alias("seq")
     ).select("doc_id", "seq", (F.col("seq") * context).alias("start"),
@@ -52,5 +72,6 @@ def pack(docs: DataFrame, context: int = 2048, buckets: int = 8, budget: int = 1
         bound = F.when(F.col("n_tokens") <= e, e).otherwise(bound)
     shard = F.pmod(F.xxhash64("doc_id", "seq"), F.lit(max(1, -(-total // shard_rows))))
     w = Window.partitionBy("boundary", "shard").orderBy("doc_id", "seq")
-    return seqs.withColumn("boundary", bound).withColumn("shard", shard).withColumn(
+    rows = sequence_texts(docs, context) if texts else seqs
+    return rows.withColumn("boundary", bound).withColumn("shard", shard).withColumn(
         "batch", F.floor((F.row_number().over(w) - 1) / F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("boundary")))))
