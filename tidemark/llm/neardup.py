@@ -97,10 +97,11 @@ def signatures(docs: DataFrame, words: int, m: int, r: int) -> DataFrame:
                 if not len(s):
                     keys.append([])
                     continue
-                mins = np.empty(len(mult), np.uint64)
-                for i, a in enumerate(mult):
-                    p = s * a
-                    mins[i] = (p ^ (p >> np.uint64(31))).min()
+                mins = np.full(len(mult), np.iinfo(np.uint64).max, np.uint64)
+                for low in range(0, len(s), 4096):
+                    p = s[None, low:low + 4096] * mult[:, None]
+                    p ^= p >> np.uint64(31)
+                    np.minimum(mins, p.min(axis=1), out=mins)
                 keys.append([xxhash.xxh64_intdigest(mins[i * r:i * r + r].tobytes(), i) - (1 << 63)
                              for i in range(2 * m)])
             yield pa.RecordBatch.from_arrays(
