@@ -11,28 +11,33 @@ from tidemark.session import ensure_checkpoint_dir
 
 
 def toxic_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the rows of each doc_id that the toxicity model rejects; rows without doc_id stay."""
     bad = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("predicted = 1")
     return docs.join(bad.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One doc_id of each group of near copies stays (five words, similarity 0.8); empty texts stay."""
     gone = neardup.groups(docs, 5, 80, 100, m=14).where("not kept")
     return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item, also with other numbers, names or units."""
     hit = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(hit.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in each text becomes <KIND>; null texts stay null; n_chars follows the new text."""
     chosen = pii.choose(pii.candidates(docs))
     return docs.withColumn("text", pii.redact(F.col("text"), chosen)).withColumn(
         "n_chars", F.length("text").cast("long"))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """One row per sequence with its bucket, shard and batch and its own part of the redacted text."""
+    return packing.pack(docs, texts=True)
 
 
 STAGES = [("toxicity", toxic_stage), ("near_dedup", neardup_stage), ("decontamination", leak_stage),
