@@ -188,21 +188,51 @@ def test_ann_skips_bad_vectors(spark):
     assert [(r.vec_id, r.score) for r in got] == [(4, 0.0), (5, 1.0)]
 
 
-def test_suffix_dedup(docs, edge):
-    rows = docs.limit(60).collect() + edge.collect()
-    df = docs.limit(60).select("doc_id", "text").union(edge.selectExpr("doc_id + 1000000", "text"))
-    texts = {r.doc_id + 1000000 * (i >= 60): (r.text or "").encode() for i, r in enumerate(rows)}
+def check_suffix_dedup(spark, texts, **options):
     seen = {}
     for t in texts.values():
+        t = (t or "").encode()
         for i in range(len(t) - 399):
             seen[t[i:i + 400]] = seen.get(t[i:i + 400], 0) + 1
-    for r in suffix_dedup.dedup(df).collect():
-        t = texts[r.doc_id]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.dedup(df, **options).collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        t = (t or "").encode()
         gone = bytearray(len(t))
         for i in range(len(t) - 399):
             if seen[t[i:i + 400]] > 1:
                 gone[i:i + 400] = b"\1" * 400
-        assert r.kept_sha256 == hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
+        spans = len([x for x in bytes(gone).split(b"\0") if x])
+        kept = hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
+        r = got[d]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(t), sum(gone), spans, kept), d
+
+
+def test_suffix_dedup(spark, docs, edge):
+    rows = docs.limit(60).collect() + edge.collect()
+    check_suffix_dedup(spark, {i: r.text for i, r in enumerate(rows)})
+
+
+def test_suffix_dedup_short_periods_and_empty(spark):
+    noise = "".join(chr(97 + x) for x in np.random.default_rng(1).integers(0, 26, 3000))
+    texts = ["a" * 500, noise[:900] + "xyz" * 700 + noise[900:1500], "xyz" * 200, "b" * 399, None, "",
+             noise[100:700], (noise[2000:2377] * 5), "é" * 450]
+    check_suffix_dedup(spark, dict(enumerate(texts)))
+    empty = spark.createDataFrame([], "doc_id long, text string, key string, h int")
+    assert suffix_dedup.dedup(empty).collect() == []
+
+
+def test_suffix_dedup_divides_crowded_anchors(spark):
+    rng = np.random.default_rng(2)
+    noise = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    line, passage, block = noise(150), noise(390), noise(430)
+    texts = [noise(300) + line + noise(300) for _ in range(25)] + [noise(200) + passage + noise(200) for _ in range(25)]
+    texts += [noise(200) + block + noise(200) for _ in range(12)] + [noise(3) + passage + "q" * (i % 8) + noise(90) for i in range(12)]
+    tail = noise(260)
+    texts += [noise(50) + line + tail + noise(40) for _ in range(10)] + [tail + line + noise(100)] * 2 + ["z" * 1500, "z" * 450]
+    check_suffix_dedup(spark, dict(enumerate(texts)), split=4)
+    check_suffix_dedup(spark, dict(enumerate(texts)))
 
 
 def test_common_prefixes():

@@ -4,8 +4,17 @@ Every ``size``-byte window is routed by its minimiser, an anchor that depends
 on the window's bytes alone, so equal windows meet. Anchors that occur once are
 settled; of the rest, distinct segments form shards. Each shard builds a
 suffix array by prefix doubling that re-sorts unsettled groups only, and
-Kasai's common prefixes of neighbours show repeated windows. Null texts are empty;
-repeated rows repeat each other's bytes; an empty table gives no rows.
+Kasai's common prefixes of neighbours show repeated windows.
+
+An anchor that stands in more than ``split`` different segments would make a shard
+too large. Its windows are divided by their distance from the anchor, a step of
+``width`` bytes at a time, and routed anew by the bytes that all windows of a step
+have in common; what is still too large is divided by narrower steps, down to single
+windows. Equal windows have equal anchors and distances, so they always meet.
+
+Null texts are empty; repeated rows repeat each other's bytes; an empty table gives
+no rows; a run of a short period keeps one anchor and makes a segment for each
+``size - K + 1`` windows.
 """
 
 from __future__ import annotations
@@ -16,19 +25,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import cut_lineage
+
 K = 48
+WIDTHS = (45, 7, 1)  # steps of the distance from an anchor, for anchors in too many segments
 BASE = 0x9E3779B97F4A7C15  # odd base of the gram hashes
 PACK = 7  # symbols of the first sort key
 
 
-def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """64-bit hash of each K-byte string, by differences of a running polynomial sum."""
-    if len(b) < K:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b + np.uint64(1)) * _powers(BASE, len(b)), dtype=np.uint64, out=total[1:])
-    h = (total[K:] - total[:-K]) * _powers(pow(BASE, -1, 1 << 64), len(b) - K + 1)
-    h ^= h >> np.uint64(29)
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(29))
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
@@ -39,19 +45,53 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def segments(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and anchor hashes: windows that share an anchor, as one segment."""
-    if len(text) < size:
-        return (np.zeros(0, np.int64),) * 3
-    h, w = gram_hashes(np.frombuffer(text, np.uint8)), size - K + 1
+def string_hashes(b: np.ndarray):
+    """The function (starts, ends) -> 64-bit hashes of those strings, by differences of a
+    running polynomial sum. Starts and ends are arrays or slices of positions."""
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b + np.uint64(1)) * _powers(BASE, len(b)), dtype=np.uint64, out=total[1:])
+    back = _powers(pow(BASE, -1, 1 << 64), len(b) + 1)
+    return lambda start, end: _mix((total[end] - total[start]) * back[start])
+
+
+def _windows(text: bytes, size: int):
+    """The hashing function, the K-byte strings' hashes, and each window's anchor: the
+    first of its K-byte strings of least hash."""
+    of = string_hashes(np.frombuffer(text, np.uint8))
+    h, w = of(slice(0, len(text) - K + 1), slice(K, len(text) + 1)), size - K + 1
     key = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
     pad = np.concatenate([key, np.full(-len(key) % w, ~np.uint64(0))]).reshape(-1, w)
     pre = np.minimum.accumulate(pad, axis=1).ravel()
     suf = np.minimum.accumulate(pad[:, ::-1], axis=1)[:, ::-1].ravel()
     n = len(text) - size + 1
-    at = (np.minimum(suf[:n], pre[w - 1:w - 1 + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    cut = np.flatnonzero(np.diff(at, prepend=-1))
-    return cut, np.append(cut[1:], n) + size - 1, h[at[cut]].astype(np.int64)
+    return of, h, (np.minimum(suf[:n], pre[w - 1:w - 1 + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def segments(text: bytes, size: int) -> tuple[np.ndarray, ...]:
+    """Starts, ends, anchor hashes, content hashes and weights of the segments: consecutive
+    windows whose anchors are the same string, ``size - K + 1`` at most. The weight is 2
+    where the anchor itself moves on, as the segment may then repeat its own windows."""
+    if len(text) < size:
+        return (np.zeros(0, np.int64),) * 5
+    of, h, at = _windows(text, size)
+    n, h = len(at), h[at].view(np.int64)
+    new = np.diff(h, prepend=~h[:1]) != 0
+    i = np.arange(n)
+    cut = np.flatnonzero((i - np.maximum.accumulate(np.where(new, i, 0))) % (size - K + 1) == 0)
+    last = np.append(cut[1:], n) - 1
+    return cut, last + size, h[cut], of(cut, last + size).view(np.int64), 1 + (at[last] != at[cut])
+
+
+def pieces(text: bytes, size: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and routing hashes of runs of windows with the same anchor at distances
+    from the same step: the hash of the bytes that all windows of the step share."""
+    of, _, at = _windows(text, size)
+    n = len(at)
+    step = (at - np.arange(n)) // width
+    cut = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(step, prepend=-1) != 0))
+    core = at[cut] - step[cut] * width
+    g = of(core, core + size - width + 1) + step[cut].astype(np.uint64) * np.uint64(BASE)
+    return cut, np.append(cut[1:], n) + size - 1, _mix(g).view(np.int64)
 
 
 def suffix_array(x: np.ndarray) -> np.ndarray:
@@ -115,13 +155,19 @@ def repeated(x: np.ndarray, size: int) -> np.ndarray:
     return hit
 
 
-def _shard(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
-    """Repeated runs of a shard's distinct segments. A segment that is alone with its
-    anchor repeats wholly or not at all and needs no sorting."""
-    alone = ~pdf["h"].duplicated(keep=False).to_numpy()
-    whole = pdf[alone & (pdf["n"] > 1).to_numpy()]
-    rows = [(h, md, 0, len(c)) for h, md, c in zip(whole["h"], whole["md"], whole["content"])]
-    pdf = pdf[~alone]
+def _shard(pdf: pd.DataFrame, size: int, width: int) -> pd.DataFrame:
+    """Repeated runs of a shard's distinct segments, and the pieces, ``width`` steps long, of
+    those marked hot. A segment that is alone with its anchor and has copies repeats wholly
+    and needs no sorting."""
+    rows = [(h, md, n, None, None, s, g, hashlib.md5(c[s:e]).digest(), c[s:e])
+            for h, md, n, c, hot in zip(pdf["h"], pdf["md"], pdf["n"], pdf["content"], pdf["hot"]) if hot
+            for s, e, g in zip(*(x.tolist() for x in pieces(c, size, width)))]
+    pdf = pdf[~pdf["hot"].to_numpy(bool)]
+    easy = ~pdf["h"].duplicated(keep=False).to_numpy() & (pdf["n"] > 1).to_numpy()
+    whole = pdf[easy]
+    rows += [(h, md, n, [0], [len(c)], None, None, None, None)
+             for h, md, n, c in zip(whole["h"], whole["md"], whole["n"], whole["content"])]
+    pdf = pdf[~easy]
     if len(pdf):
         parts, at = [], 0
         for i, c in enumerate(pdf["content"]):
@@ -131,11 +177,55 @@ def _shard(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
             hit = flag[at:at + len(c) - size + 1] | (n > 1)
             at += len(c) + 1
             edge = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
-            rows += [(h, md, int(s), int(e) + size - 1) for s, e in zip(edge[::2], edge[1::2])]
-    return pd.DataFrame(rows, columns=["h", "md", "lo", "hi"])
+            if len(edge):
+                rows.append((h, md, n, edge[::2].tolist(), (edge[1::2] + size - 1).tolist(), None, None, None, None))
+    return pd.DataFrame(rows, columns=["h", "md", "n", "lo", "hi", "at", "g", "g_md", "content"]
+                        ).astype({"at": "Int32", "g": "Int64"})
 
 
-def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, on: list[str], total: int, spread: list[str]) -> DataFrame:
+    """Inner join of ``left`` with ``right``, whose column n counts each key's rows of
+    ``left``, ``total`` in all. Keys of more than a thousandth of the rows, a thousand of
+    them at most, are told to ``left`` by broadcast and salted by its columns ``spread``."""
+    right = right.withColumn("salts", F.floor(F.col("n") * 1000 / max(total, 1)).cast("int") + 1).drop("n")
+    heavy = F.broadcast(right.where("salts > 1").select(*on, "salts"))
+    left = left.join(heavy, on, "left").withColumn(
+        "salt", F.pmod(F.xxhash64(*spread), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return left.join(right, [*on, "salt"]).drop("salt")
+
+
+def _settle(d: DataFrame, size: int, shards: int, split: int, widths: tuple[int, ...]) -> DataFrame:
+    """h, md, n, lo, hi (arrays): repeated runs of the distinct segments h, md, n, content, hot.
+    Hot ones lie in shards of their own choice and are divided; none may be hot where
+    ``widths`` is empty."""
+    width = widths[0] if widths else size
+    by = F.when(F.col("hot"), F.xxhash64("h", "md")).otherwise(F.xxhash64("h"))
+    out = cut_lineage(d.withColumn("shard", F.pmod(by, F.lit(shards))).groupBy("shard").applyInPandas(
+        lambda pdf: _shard(pdf, size, width),
+        "h long, md binary, n long, lo array<int>, hi array<int>, at int, g long, g_md binary, content binary"))
+    hits = out.where("g is null").select("h", "md", "n", "lo", "hi")
+    if not widths:
+        return hits
+    small = out.where("g is not null").select(
+        F.col("h").alias("up"), F.col("md").alias("up_md"), "n", "at", F.col("g").alias("h"), F.col("g_md").alias("md"), "content")
+    found = cut_lineage(small.groupBy("h", "md").agg(
+        F.sum("n").alias("copies"), F.count("*").alias("rows"), F.first("content").alias("content")))
+    crowded = (F.count("*") > split) & F.lit(len(widths) > 1)
+    counts = cut_lineage(found.groupBy("h").agg(
+        F.count("*").alias("n"), F.sum("copies").alias("copies"), crowded.alias("hot")).where("copies > 1").drop("copies"))
+    kinds, rows = found.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    deeper = () if counts.where("hot").isEmpty() else widths[1:]
+    below = _meet(found.select("h", "md", "copies", "content"), counts, ["h"], kinds, ["md"]).withColumnRenamed("copies", "n")
+    sub = _settle(below, size, shards, split, deeper).drop("n").join(
+        found.select("h", "md", F.col("rows").alias("n")), ["h", "md"])
+    spans = _meet(small.withColumnRenamed("n", "copies").drop("content"), cut_lineage(sub), ["h", "md"], rows, ["up_md", "at"])
+    shift = lambda c: F.flatten(F.collect_list(F.transform(c, lambda x: x + F.col("at"))))
+    return cut_lineage(hits.unionByName(spans.groupBy(F.col("up").alias("h"), F.col("up_md").alias("md")).agg(
+        F.first("copies").alias("n"), shift("lo").alias("lo"), shift("hi").alias("hi"))))
+
+
+def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18, split: int = 1024) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row. There is a
     shard for each ``shard_bytes`` of text, so that shards keep their size."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -146,32 +236,38 @@ def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18) -> DataF
     def anchors(batches):
         for pdf in batches:
             found = [segments(t.encode(), size) for t in [*pdf["text"], ""]]
-            yield pd.DataFrame({"key": np.repeat(pdf["key"].to_numpy(), [len(s) for s, _, _ in found[:-1]]),
-                                "start": np.concatenate([s for s, _, _ in found]),
-                                "h": np.concatenate([h for _, _, h in found])})
+            yield pd.DataFrame({"key": np.repeat(pdf["key"].to_numpy(), [len(x[0]) for x in found[:-1]]),
+                                "start": np.concatenate([x[0] for x in found]),
+                                "h": np.concatenate([x[2] for x in found]),
+                                "m": np.concatenate([x[3] for x in found]),
+                                "n": np.concatenate([x[4] for x in found])})
 
     def content(batches):
         for pdf in batches:
             rows = []
-            for k, t, want in zip(pdf["key"], pdf["text"], pdf["want"]):
+            for k, t, want, crowded in zip(pdf["key"], pdf["text"], pdf["want"], pdf["crowded"]):
                 t = t.encode()
                 cuts = segments(t, size)
-                pick = np.isin(cuts[0], want)
-                rows += [(k, s, h, hashlib.md5(t[s:e]).digest(), t[s:e])
-                         for s, e, h in zip(*(c[pick].tolist() for c in cuts))]
-            yield pd.DataFrame(rows, columns=["key", "start", "h", "md", "content"])
-
-    narrow = base.select("key", "text").mapInPandas(anchors, "key long, start int, h long")
-    shared = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    want = narrow.join(shared, "h").groupBy("key").agg(F.collect_set("start").alias("want"))
+                pick, hot = np.isin(cuts[0], want), np.isin(cuts[0], crowded)
+                rows += [(k, s, h, hashlib.md5(t[s:e]).digest(), w, t[s:e])
+                         for s, e, h, w in zip(*(c[pick].tolist() for c in (*cuts[:3], hot)))]
+            yield pd.DataFrame(rows, columns=["key", "start", "h", "md", "hot", "content"])
+
+    narrow = base.select("key", "text").mapInPandas(anchors, "key long, start int, h long, m long, n long")
+    # anchors with several contents in more than ``split`` segments are divided
+    counts = cut_lineage(narrow.groupBy("h").agg(
+        F.sum("n").alias("n"), ((F.count("*") > split) & (F.min("m") < F.max("m"))).alias("hot")).where("n > 1"))
+    shared, crowded = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("hot"), F.lit(False))).first()
+    want = _meet(narrow.select("key", "start", "h"), counts, ["h"], shared, ["key", "start"]).groupBy("key").agg(
+        F.collect_set("start").alias("want"), F.collect_set(F.when(F.col("hot"), F.col("start"))).alias("crowded"))
     # the columns of the last join, so that the texts are shuffled once
     segs = base.join(want, "key").mapInPandas(
-        content, "key long, start int, h long, md binary, content binary")
-    hits = (segs.groupBy("h", "md").agg(F.count("*").alias("n"), F.first("content").alias("content"))
-            .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard")
-            .applyInPandas(lambda pdf: _shard(pdf, size), "h long, md binary, lo int, hi int"))
-    spans = segs.select("key", "start", "h", "md").join(hits, ["h", "md"]).groupBy("key").agg(
-        F.collect_set(F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))).alias("r"))
+        content, "key long, start int, h long, md binary, hot boolean, content binary")
+    d = segs.groupBy("h", "md").agg(F.count("*").alias("n"), F.first("hot").alias("hot"), F.first("content").alias("content"))
+    hits = _settle(d, size, shards, split, WIDTHS if crowded else ())
+    spans = _meet(segs.select("key", "start", "h", "md"), hits, ["h", "md"], shared, ["key", "start"]).select(
+        "key", "start", F.explode(F.arrays_zip("lo", "hi")).alias("x")).groupBy("key").agg(
+        F.collect_set(F.struct((F.col("start") + F.col("x.lo")).alias("lo"), (F.col("start") + F.col("x.hi")).alias("hi"))).alias("r"))
 
     def cut(batches):
         for pdf in batches:
