@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.neardup import spilled
 from tidemark.session import cut_lineage
 
 K = 48
@@ -253,7 +254,9 @@ def dedup(docs: DataFrame, size: int = 400, shard_bytes: int = 1 << 18, split: i
                          for s, e, h, w in zip(*(c[pick].tolist() for c in (*cuts[:3], hot)))]
             yield pd.DataFrame(rows, columns=["key", "start", "h", "md", "hot", "content"])
 
-    narrow = base.select("key", "text").mapInPandas(anchors, "key long, start int, h long, m long, n long")
+    # written, as a second pass over the texts costs more than these columns
+    narrow = spilled(base.select("key", "text").mapInPandas(
+        anchors, "key long, start int, h long, m long, n long"), "anchors")
     # anchors with several contents in more than ``split`` segments are divided
     counts = cut_lineage(narrow.groupBy("h").agg(
         F.sum("n").alias("n"), ((F.count("*") > split) & (F.min("m") < F.max("m"))).alias("hot")).where("n > 1"))
