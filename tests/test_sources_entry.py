@@ -73,3 +73,16 @@ def test_stage_table_sinks_round_trip(spark):
     assert back.count() == tr.count() and set(back.columns) == set(pp.train.columns)
     csv = write_table(pp.scaler.table(spark), os.path.join(d, "scaler_csv"), fmt="csv")
     assert spark.read.option("header", True).csv(csv).count() == len(pp.scaler.params)
+
+
+def test_ranges_reach_the_scan(spark, tmp_path):
+    from tidemark.sources.panel_io import read_table
+
+    rows = [(1, 0.5), (2, float("nan")), (3, None), (4, 7.0), (5, 9.0)]
+    spark.createDataFrame(rows, "id long, x double").write.parquet(str(tmp_path / "t.parquet"))
+    for ranges, want in (({"x": (1.0, None)}, [4, 5]), ({"x": (None, 7.0)}, [1, 4]), ({"x": (1.0, 8.0), "id": (4, 4)}, [4])):
+        df = read_table(spark, str(tmp_path), "t", ranges)
+        assert sorted(r.id for r in df.collect()) == want
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters"):].split("]")[0]
+        assert "ThanOrEqual(x," in pushed

@@ -32,9 +32,22 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*exprs) if changed else df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of a scale-factor directory; NaN -> NULL."""
-    return nan_to_null(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+def within(df: DataFrame, ranges: dict) -> DataFrame:
+    """Rows whose columns lie in ``{column: (low, high)}``, ends included, None for an open end."""
+    for c, (lo, hi) in ranges.items():
+        for cond in ([F.col(f"`{c}`") >= lo] if lo is not None else []) + ([F.col(f"`{c}`") <= hi] if hi is not None else []):
+            df = df.where(cond)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, ranges: dict | None = None) -> DataFrame:
+    """One parquet table of a scale-factor directory; NaN -> NULL.
+
+    ``ranges`` (see ``within``) reach the scan: a filter on top of the NaN projection does not,
+    so the rows are filtered below it, where NaN counts as large, and NULLs fall out above it.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return within(nan_to_null(within(df, ranges)), ranges) if ranges else nan_to_null(df)
 
 
 def read_panel(spark: SparkSession, path: str, fmt: str | None = None,
