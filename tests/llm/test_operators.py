@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -333,22 +334,72 @@ def test_toxicity_german_french_recall(spark):
     labels = spark.read.parquet(f"{d}/labels.parquet")
     rows = toxicity.score(docs, labels).where("held_out").join(labels, "doc_id").join(
         docs.select("doc_id", "lang"), "doc_id").where("toxic is not null").collect()
-    for lang, least in (("en", 0.9), ("de", 0.8), ("fr", 0.8)):
+    for lang, least in (("en", 0.9), ("de", 0.8), ("fr", 0.8), ("es", 0.6)):
         bad = [r.predicted for r in rows if r.lang == lang and r.toxic == 1]
         assert sum(bad) >= least * len(bad)
     fine = [r.predicted for r in rows if r.toxic == 0]
     assert sum(fine) <= 0.02 * len(fine)
 
 
-def test_toxicity_counts_are_exact(spark):
-    rows = [(f"w{i} bad{i}bad good", y) for i in range(40) for y in (1, 1, 1, 0, 0)]
-    model = toxicity.train(spark.createDataFrame(rows, "text string, y int"))
-    n = model.count()
-    assert model.select("h").distinct().count() == n
-    got = toxicity.statistics(spark.createDataFrame([(1, "w3"), (2, "good"), (3, "new")], "doc_id long, text string"),
-                              model).collect()
-    want = {1: np.log(3 * 1.0 / 2), 2: np.log(120 / 80)}
-    assert {r.doc_id: round(r.stat, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+def brute_toxicity(rows):
+    """Log ratio a word of each expression, by the formulas of the models over plain dictionaries."""
+    n, info = [Counter(), Counter()], {}
+    for text, y in rows:
+        words = re.findall(r"[^\W\d_]+|\d+", (text or "").lower())
+        for w in set(words):
+            s = "^^" + w + "$"
+            n[y]["root"] += 1
+            for k in range(3, len(s) + 1):
+                up = s[:k - 1] if k > 3 else "root"
+                n[y][s[:k]] += 1
+                info[s[:k]] = (up, up, s[k - 3:k], s[k - 3:k - 1], 1)
+        for size in (2, 3):
+            for g in set(zip(*(words[i:] for i in range(size)))):
+                up = "^^" + g[0] + "$" if size == 2 else g[:2]
+                n[y][g] += 1
+                n[y]["after", up] += 1
+                info[g] = (up, ("after", up), ("word", g[-1]), "any", size)
+    info = {h: r for h, r in info.items() if n[1][h] > toxicity.D}
+    tails, ctxs = Counter(r[2] for r in info.values()), Counter(r[3] for r in info.values())
+
+    def step(h):
+        _, ctx, tail, tctx, _ = info[h]
+        q, out = tails[tail] / (ctxs[tctx] + 1), []
+        for c in n:
+            after = [c[g] for g, r in info.items() if r[1] == ctx]
+            kinds = sum(x > 0 for x in after) + (c[ctx] > sum(after))
+            out.append(np.log((max(c[h] - toxicity.D, 0) + (toxicity.THETA + toxicity.D * kinds) * q)
+                              / (c[ctx] + toxicity.THETA)))
+        return out[1] - out[0]
+
+    def total(h):
+        return 0.0 if h == "root" else step(h) + total(info[h][0])
+
+    return {h: total(h) / info[h][4] for h in info}
+
+
+def test_toxicity_models_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(("ab", "abc", "ba", "éa", "c\U0001F600c", "7", "abba")) for _ in range(12))
+             + (" you rot ab" if y and rng.random() < 0.8 else " you abc"), y) for y in [0, 1] * 40]
+    rows += [(None, 1), ("", 0), ("... !", 1)]
+    want = brute_toxicity(rows)
+    assert len([v for v in want.values() if v >= toxicity.FLOOR]) > 5
+    df = spark.createDataFrame(rows, "text string, y int")
+    assert sorted(round(r.llr, 9) for r in toxicity.train(df).collect()) == sorted(
+        round(v, 9) for v in want.values() if v >= toxicity.FLOOR)
+    texts = ["rotten", "you rot ab", "abc ba", "", "you", "rot"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: round(r.stat, 9) for r in toxicity.statistics(docs, toxicity.train(df)).collect()}
+    best = {}
+    for i, text in enumerate(texts):
+        words = text.split()
+        names = {("^^" + w + "$")[:k] for w in words for k in range(3, len(w) + 4)}
+        names |= {g for size in (2, 3) for g in zip(*(words[j:] for j in range(size)))}
+        top = max([want.get(g, 0.0) for g in names], default=0.0)
+        if top >= toxicity.FLOOR:
+            best[i] = round(top, 9)
+    assert got == best and 0 in got and 2 not in got
 
 
 def test_licenses_of_real_texts(spark):
