@@ -353,12 +353,11 @@ def brute_toxicity(rows):
                 up = s[:k - 1] if k > 3 else "root"
                 n[y][s[:k]] += 1
                 info[s[:k]] = (up, up, s[k - 3:k], s[k - 3:k - 1], 1)
-        for size in (2, 3):
-            for g in set(zip(*(words[i:] for i in range(size)))):
-                up = "^^" + g[0] + "$" if size == 2 else g[:2]
-                n[y][g] += 1
-                n[y]["after", up] += 1
-                info[g] = (up, ("after", up), ("word", g[-1]), "any", size)
+        for g in set(zip(words, words[1:])):
+            up = "^^" + g[0] + "$"
+            n[y][g] += 1
+            n[y]["after", up] += 1
+            info[g] = (up, ("after", up), ("word", g[1]), "any", 2)
     info = {h: r for h, r in info.items() if n[1][h] > toxicity.D}
     tails, ctxs = Counter(r[2] for r in info.values()), Counter(r[3] for r in info.values())
 
@@ -375,30 +374,31 @@ def brute_toxicity(rows):
     def total(h):
         return 0.0 if h == "root" else step(h) + total(info[h][0])
 
-    return {h: total(h) / info[h][4] for h in info}
+    out = {h: total(h) / info[h][4] for h in info}
+    return {h: v for h, v in out.items() if v >= toxicity.FLOOR and v > out.get(info[h][0], v - 1)}
 
 
 def test_toxicity_models_equal_brute_force(spark):
     rng = random.Random(5)
     rows = [(" ".join(rng.choice(("ab", "abc", "ba", "éa", "c\U0001F600c", "7", "abba")) for _ in range(12))
-             + (" you rot ab" if y and rng.random() < 0.8 else " you abc"), y) for y in [0, 1] * 40]
+             + (rng.choice((" you rot ab", " vile bog ba", " you abc")) if y else " you abc"), y) for y in [0, 1] * 40]
     rows += [(None, 1), ("", 0), ("... !", 1)]
     want = brute_toxicity(rows)
-    assert len([v for v in want.values() if v >= toxicity.FLOOR]) > 5
+    assert len(want) > 5
     df = spark.createDataFrame(rows, "text string, y int")
     assert sorted(round(r.llr, 9) for r in toxicity.train(df).collect()) == sorted(
-        round(v, 9) for v in want.values() if v >= toxicity.FLOOR)
-    texts = ["rotten", "you rot ab", "abc ba", "", "you", "rot"]
+        round(v, 9) for v in want.values())
+    texts = ["rotten", "you rot ab", "abc ba", "", "you", "rot", "a vile bog"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: round(r.stat, 9) for r in toxicity.statistics(docs, toxicity.train(df)).collect()}
     best = {}
     for i, text in enumerate(texts):
         words = text.split()
         names = {("^^" + w + "$")[:k] for w in words for k in range(3, len(w) + 4)}
-        names |= {g for size in (2, 3) for g in zip(*(words[j:] for j in range(size)))}
-        top = max([want.get(g, 0.0) for g in names], default=0.0)
-        if top >= toxicity.FLOOR:
-            best[i] = round(top, 9)
+        names |= set(zip(words, words[1:]))
+        found = [want[g] for g in names if g in want]
+        if found:
+            best[i] = round(max(found), 9)
     assert got == best and 0 in got and 2 not in got
 
 
