@@ -454,3 +454,24 @@ def test_decontamination_finds_short_items_in_long_documents(spark):
     items = spark.createDataFrame([(1, "What is entropy"), (2, "how many is 7 plus 9")], "item_id long, text string")
     got = decontaminate.contamination(df, items).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (5, 2)]
+
+
+def test_neardup_links_of_far_stars(spark):
+    """Two texts that share a star are compared however little they have of its centre, and in each
+    star that they share, not in the nearest one only."""
+    w = [f"v{i}" for i in range(200)]
+    texts = {1: w[:40] + w[100:160], 2: w[:100], 3: w[:98] + ["end", "off"], 4: w[5:100], 5: w[4:104]}
+    sets = {i: set(zip(t, t[1:])) for i, t in texts.items()}
+
+    def star(a, i):
+        return a, i, len(sets[a]), len(sets[i]), len(sets[a] & sets[i])
+
+    def found(stars, labels):
+        rows = spark.createDataFrame(stars, "a long, id long, n_a long, n long, both long")
+        lab = spark.createDataFrame(labels, "id long, label long")
+        body = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, text string")
+        return {tuple(sorted(r)) for r in neardup.rest_links(rows, lab, body, 2, 85, 100).collect()}
+
+    assert found([star(1, 2), star(1, 3)], []) == {(2, 3)}
+    # 2 is nearer to 4, whose star 3 is not in; in the star of 5, 3 is of the centre's component
+    assert found([star(4, 2), star(4, 1), star(5, 2), star(5, 3)], [(5, 3), (3, 3)]) == {(2, 3)}
