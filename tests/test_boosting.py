@@ -158,3 +158,18 @@ def test_constant_labels_and_empty_training(spark):
     assert {r.p for r in fitted.predict(df).collect()} == {2.5}
     with pytest.raises(ValueError, match="no training rows"):
         Booster(df, ["a"], "y", "id").fit([Slot(BoostParams(), 0)])
+
+
+def test_work_is_dealt_and_margins_are_kept(spark, monkeypatch):
+    """Tasks of 25,000 rows, and no round replays more than a few trees."""
+    from tidemark.operators import boosting
+
+    df = spark.range(60_000).select("id", (F.col("id") % 7).cast("double").alias("x"),
+                                    (F.col("id") % 3).cast("double").alias("y"), F.lit(0).alias("seg"))
+    fitted = boosting.Booster(df, ["x"], "y", "id")
+    assert fitted.frame.rdd.getNumPartitions() >= 3
+    replayed, grow = [], boosting.Booster._grow
+    monkeypatch.setattr(boosting.Booster, "_grow",
+                        lambda self, data, kept, t, live: (replayed.append(t - kept), grow(self, data, kept, t, live)))
+    fitted.fit([boosting.Slot(boosting.BoostParams.of({"n_estimators": 6, "max_depth": 1}), 1)])
+    assert max(replayed) <= 3

@@ -37,7 +37,7 @@ from ..config import N_SPLITS, RANDOM_STATE
 from ..session import cut_lineage
 from .quantiles import order_values
 
-KEEP = 20
+KEEP = 4
 BINS = 254
 
 
@@ -200,7 +200,7 @@ class Booster:
     """A batch of models grown in step on ``(key, seg, label, features)`` rows."""
 
     def __init__(self, frame: DataFrame, features, label: str, key: str, seg: str = "seg",
-                 bins: int = BINS, rows_per_task: int = 200_000):
+                 bins: int = BINS, rows_per_task: int = 25_000):
         self.features, self.label, self.key, self.seg = list(features), label, key, seg
         self.edges = bin_edges(frame, self.features, bins)
         self.width = max(len(e) for e in self.edges) + 2
@@ -350,11 +350,14 @@ class Booster:
                         prob = 1 / (1 + np.exp(-m[i][rows]))
                         g, h = prob - y[rows], prob * (1 - prob)
                     else:
-                        g, h = m[i][rows] - y[rows], np.ones(len(rows))
+                        g, h = m[i][rows] - y[rows], None
                     cell = (at[:, None] * n_feat * width + lane + bins[rows]).ravel()
-                    for j, v in enumerate((g, h, None)):
-                        sums[i][j] += np.bincount(cell, None if v is None else np.repeat(v, n_feat),
-                                                  minlength=sums[i].shape[1])
+                    many = np.bincount(cell, minlength=sums[i].shape[1])
+                    sums[i][0] += np.bincount(cell, np.repeat(g, n_feat), minlength=sums[i].shape[1])
+                    # Hessians of 1 add up to the number of rows
+                    sums[i][1] += np.bincount(cell, np.repeat(h, n_feat), minlength=sums[i].shape[1]
+                                              ) if objective == "logistic" else many
+                    sums[i][2] += many
             for i, s in sums.items():
                 cell = np.flatnonzero(s[2])
                 yield pa.RecordBatch.from_arrays(
