@@ -475,3 +475,33 @@ def test_neardup_links_of_far_stars(spark):
     assert found([star(1, 2), star(1, 3)], []) == {(2, 3)}
     # 2 is nearer to 4, whose star 3 is not in; in the star of 5, 3 is of the centre's component
     assert found([star(4, 2), star(4, 1), star(5, 2), star(5, 3)], [(5, 3), (3, 3)]) == {(2, 3)}
+
+
+def test_toxicity_backoff_is_recursive(spark):
+    """Shares of each order from plain dictionaries; with all unseen mass they add up to less than one."""
+    rng = random.Random(8)
+    seen = Counter({(rng.choice("abcde"), rng.choice("abc"), rng.choice("^ab")): rng.randrange(1, 9) for _ in range(40)})
+    after = Counter(rng.choice(range(100, 120)) for _ in range(60))
+    d = toxicity.DELTA
+
+    def share(counts, x, lower):
+        return (max(counts[x] - d, 0) + d * len(counts) * lower) / sum(counts.values())
+
+    def q(x, p1, p2):
+        ones = Counter((y, p) for y, p, _ in seen)
+        nones = Counter(y for y, _ in ones)
+        q0 = share(nones, x, 1 / (len(nones) + 1))
+        q1 = share(Counter({y: n for (y, p), n in ones.items() if p == p1}), x, q0)
+        return share(Counter({y: n for (y, a, b), n in seen.items() if (a, b) == (p1, p2)}), x, q1)
+
+    want = {((ord(x) << 42) | (ord(a) << 21) | ord(b), (ord(a) << 21) | ord(b)): q(x, a, b) for x, a, b in seen}
+    want |= {(w, toxicity.ANY): share(after, w, 1 / (len(after) + 1)) for w in after}
+    rows = [((ord(x) << 42) | (ord(a) << 21) | ord(b), (ord(a) << 21) | ord(b), n) for (x, a, b), n in seen.items()]
+    rows += [(w, toxicity.ANY, n) for w, n in after.items()]
+    got = {(r.tail, r.tctx): r.q for r in toxicity.continuation(
+        spark.createDataFrame(rows, "tail long, tctx long, k long")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    texts = [("you rotten bog", 1), ("vile rot you", 1), ("you abc fine", 0), ("fine day abc", 0)] * 5
+    df = spark.createDataFrame(texts, "text string, y int")
+    plain, deep = ({r.h: r.llr for r in toxicity.train(df, recursive=x).collect()} for x in (False, True))
+    assert deep and deep != plain
