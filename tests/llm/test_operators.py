@@ -505,3 +505,22 @@ def test_toxicity_backoff_is_recursive(spark):
     df = spark.createDataFrame(texts, "text string, y int")
     plain, deep = ({r.h: r.llr for r in toxicity.train(df, recursive=x).collect()} for x in (False, True))
     assert deep and deep != plain
+
+
+def test_bit_table_reaches_the_driver_in_few_rows(spark, monkeypatch):
+    hashes = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    h = np.array([r.h for r in hashes.collect()], np.int64).view(np.uint64)
+    kind, received = type(hashes), []
+    for name in ("collect", "toPandas"):
+        def counted(df, plain=getattr(kind, name)):
+            received.append(rows := plain(df))
+            return rows
+        monkeypatch.setattr(kind, name, counted)
+    for size in (64, 1 << 12, 1 << 22):
+        received.clear()
+        at = h & np.uint64(size - 1)
+        want = np.zeros(size // 64, np.uint64)
+        np.bitwise_or.at(want, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        assert (decontaminate.bit_table(hashes, size) == want).all()
+        assert sum(map(len, received)) <= 8  # 2**16 words at most, 2**13 a row
+    assert not decontaminate.bit_table(hashes.limit(0), 128).any()
