@@ -524,3 +524,41 @@ def test_bit_table_reaches_the_driver_in_few_rows(spark, monkeypatch):
         assert (decontaminate.bit_table(hashes, size) == want).all()
         assert sum(map(len, received)) <= 8  # 2**16 words at most, 2**13 a row
     assert not decontaminate.bit_table(hashes.limit(0), 128).any()
+
+
+def test_neardup_rest_does_not_deal_members_to_many_blocks(spark, monkeypatch):
+    """Members far from their centre and from each other are read about once; kin among them still link."""
+    rng = random.Random(11)
+    centre = [f"c{i}" for i in range(60)]
+    texts = {0: centre}
+    for i in range(1, 401):
+        if i % 20 == 0:
+            w = [*texts[i - 1]]
+            w[rng.randrange(60)] = f"kin{i}"
+        elif i % 20 == 10:
+            w = centre[:rng.randrange(35, 46)]
+        else:
+            w = [*centre]
+            for k in rng.sample(range(60), rng.randrange(8, 16)):
+                w[k] = f"e{rng.randrange(300)}"
+        texts[i] = w
+    sets = {i: set(zip(t, t[1:])) for i, t in texts.items()}
+    links = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    own = [j for i, j in links if i == 0]
+    comp = {i: 0 if i in own else i for i in sets}
+    want = {(i, j) for i, j in links if i and comp[i] != comp[j]}
+    assert len(want) >= 15
+    read = []
+    for name in ("compared", "compared_blocks"):
+        if plain := getattr(neardup, name, None):
+            def counted(rows, *args, plain=plain):
+                read.append(rows.count())
+                return plain(rows, *args)
+            monkeypatch.setattr(neardup, name, counted)
+    stars = spark.createDataFrame([(0, i, len(sets[0]), len(s), len(sets[0] & s)) for i, s in sets.items() if i],
+                                  "a long, id long, n_a long, n long, both long")
+    labels = spark.createDataFrame([(0, 0)] + [(i, 0) for i in own], "id long, label long")
+    body = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, text string")
+    got = {tuple(sorted(r)) for r in neardup.rest_links(stars, labels, body, 2, 80, 100).collect()}
+    assert got == want
+    assert sum(read) <= 2 * len(texts)
