@@ -562,3 +562,29 @@ def test_neardup_rest_does_not_deal_members_to_many_blocks(spark, monkeypatch):
     got = {tuple(sorted(r)) for r in neardup.rest_links(stars, labels, body, 2, 80, 100).collect()}
     assert got == want
     assert sum(read) <= 2 * len(texts)
+
+
+def test_toxicity_small_tables_take_few_tasks(spark):
+    """Each task that deals out rows leaves files: those of small tables must not grow with the shuffle partitions."""
+    docs = [(i, "you rotten vile bog" if i % 3 == 0 else "a fine calm day") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    docs, tasks, want = spark.createDataFrame(docs, "doc_id long, text string"), {}, None
+    held = {"spark.sql.shuffle.partitions": None, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for n in (8, 64):
+            for k, v in held.items():
+                spark.conf.set(k, v or str(n))
+            sc.setJobGroup(f"toxicity-{n}", "")
+            got = sorted((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in toxicity.score(docs, labels).collect())
+            assert want in (None, got) and all(r[3] == (r[0] % 3 == 0) for r in got)
+            want, tracker = got, sc.statusTracker()
+            stages = {s for j in tracker.getJobIdsForGroup(f"toxicity-{n}") for s in tracker.getJobInfo(j).stageIds}
+            tasks[n] = sum(x.numCompletedTasks for s in stages if (x := tracker.getStageInfo(s)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            sc.setLocalProperty(k, None)
+    assert tasks[64] < 4 * tasks[8]
