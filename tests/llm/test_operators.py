@@ -402,6 +402,81 @@ def test_toxicity_models_equal_brute_force(spark):
     assert got == best and 6 in got and 2 not in got
 
 
+def brute_letters(rows):
+    """Log ratio of a word under the letter models of both classes, by plain dictionaries over all their letters."""
+    n, d, theta = [Counter(), Counter()], toxicity.DELTA, toxicity.THETA
+    for text, y in rows:
+        for w in set(re.findall(r"[^\W\d_]+|\d+", (text or "").lower())):
+            n[y].update("^^" + w[:k] for k in range(1, len(w) + 1))
+            n[y]["^^" + w + "$"] += 1
+    types = set(n[0]) | set(n[1])
+    two = Counter(h[-3:] for h in types)
+    one = Counter(t[1:] for t in two)
+    none = Counter(t[1:] for t in one)
+
+    def share(counts, key, lower):
+        same = [v for k, v in counts.items() if k[:-1] == key[:-1]]
+        return (max(counts[key] - d, 0) + d * len(same) * lower) / sum(same)
+
+    def ratio(word):
+        out = 0.0
+        for k in range(1, len(word) + 2):
+            h = ("^^" + word + "$")[:k + 2]
+            p, after = [], [t for t in types if t[:-1] == h[:-1]]
+            if not after:
+                break
+            # a letter never seen after this beginning: the backoff cancels
+            q = share(two, h[-3:], share(one, h[-2:], share(none, h[-1:], 1 / (len(none) + 1)))) if h in types else 1.0
+            for c in n:
+                left = sum(min(c[t], toxicity.D) for t in after)
+                p.append((max(c[h] - toxicity.D, 0) + (theta + left) * q) / (sum(c[t] for t in after) + theta))
+            out += np.log(p[1]) - np.log(p[0])
+        return out
+
+    return ratio
+
+
+def test_toxicity_compares_whole_texts(spark, monkeypatch):
+    """Each word of a text counts, also those of ordinary texts alone or never seen; the same if the tasks hold few rows."""
+    rng = random.Random(6)
+    rows = [(" ".join(rng.choice(("calm", "cab", "dabé", "day", "7", "\U00010400a")) for _ in range(6))
+             + (rng.choice((" rotten", " rot", " vile")) if y else " fine") + f" u{rng.choice('abcdefgh')}", y) for y in [0, 1, 0] * 12]
+    rows += [(None, 1), ("", 0)]
+    labelled = spark.createDataFrame(rows, "text string, y int")
+    ratio = brute_letters(rows)
+    texts = ["calm day calm fine", "rotten vile rots cat", "zzz", "fin dabé ua 77", None, "... !"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    letters, model = toxicity.letter_weights(labelled), toxicity.train(labelled, recursive=True, longest=3, floor=0.0)
+    tops = []
+    for table in (toxicity.TABLE, 12):
+        monkeypatch.setattr(toxicity, "TABLE", table)
+        got = {r.doc_id: r for r in toxicity.measures(docs, model, letters, longest=3).collect()}
+        for i, text in enumerate(texts):
+            words = re.findall(r"[^\W\d_]+|\d+", text or "")
+            assert got[i].words == len(words) and got[i].rows == 1
+            assert not words and got[i]["mean"] is None or abs(
+                got[i]["mean"] - sum(map(ratio, words)) / len(words)) < 1e-5
+        tops.append({i: r.top for i, r in got.items()})
+    assert got[0]["mean"] < 0 < got[1]["mean"] and tops[0] == tops[1] and tops[0][1] > 0
+
+
+def test_toxicity_reads_phrases_of_three_words_and_rows_without_key(spark):
+    """``go home now`` is toxic, each word and pair of it is not; a text without doc_id is scored too."""
+    bad = ["go home now", "we go home and home now"]
+    rows = [(" ".join(["so", bad[0] if y else bad[1], str(i)]), y) for i in range(30) for y in (0, 1)]
+    df = spark.createDataFrame(rows, "text string, y int")
+    docs = spark.createDataFrame([(1, bad[0]), (2, bad[1])], "doc_id long, text string")
+    two, three = ({r.doc_id: r.top for r in toxicity.measures(docs, toxicity.train(
+        df, recursive=True, longest=n, floor=0.0), longest=n).collect()} for n in (2, 3))
+    assert three[1] > max(two[1], three[2])
+    texts = ["you rotten vile bog" if i % 3 == 0 else "a fine calm day" for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (None, texts[1]), (None, texts[0])], "doc_id long, text string")
+    got = [r for r in toxicity.score(docs, labels).collect()]
+    assert len(got) == 63 and sorted(r.predicted for r in got if r.doc_id is None) == [0, 1, 1]
+    assert not any(r.held_out for r in got if r.doc_id is None)
+
+
 def test_licenses_of_real_texts(spark):
     mit = ("MIT License\n\nCopyright (c) 2020 A. B.\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
            "of this software and associated documentation files (the \"Software\"), to deal\nin the Software.\n\n"
